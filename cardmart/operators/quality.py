@@ -121,17 +121,21 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy("tbl")
 
 
-def counts_match(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]) -> DataFrame:
-    """Q05: row counts of paired tables side by side with an equality flag."""
-    a = row_counts(left).withColumnRenamed("row_count", "left_rows").withColumnRenamed("tbl", "pair")
-    b = row_counts(right).withColumnRenamed("row_count", "right_rows").withColumnRenamed("tbl", "pair_r")
-    pairs = list(zip(left.keys(), right.keys()))
-    key = reduce(lambda acc, p: acc.when(F.col("pair_r") == p[1], F.lit(p[0])),
-                 pairs[1:], F.when(F.col("pair_r") == pairs[0][1], F.lit(pairs[0][0])))
-    b = b.withColumn("pair", key)
-    return (a.join(b, "pair", "full_outer").select(
-        "pair", "left_rows", "right_rows",
-        (F.col("left_rows") == F.col("right_rows")).alias("counts_equal")))
+def counts_match(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Q05: row counts of paired tables side by side with an equality flag.
+
+    Counts are tagged and unioned, then folded per pair by one aggregate --
+    no join between the one-row results.
+    """
+    parts = []
+    for name, (left, right) in pairs.items():
+        for side, df in (("left", left), ("right", right)):
+            parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(name).alias("pair"), F.lit(side).alias("side"), "n"))
+    folded = reduce(DataFrame.unionByName, parts).groupBy("pair").agg(
+        F.sum(F.when(F.col("side") == "left", F.col("n"))).alias("left_rows"),
+        F.sum(F.when(F.col("side") == "right", F.col("n"))).alias("right_rows"))
+    return folded.withColumn("counts_equal", F.col("left_rows") == F.col("right_rows"))
 
 
 def parity(a: DataFrame, b: DataFrame, drop: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

@@ -1 +1,469 @@
-"""Placeholder."""
+"""Relational queries: aggregates, joins, top-k, predicates, upsert, data tests (A/J/L/P/Q/S/U/X)."""
+
+from __future__ import annotations
+
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cardmart import constants as K
+from cardmart.functions.keys import cross_border, minus_minutes, surrogate_key
+from cardmart.functions.text import prompt
+from cardmart.operators import joins as J
+from cardmart.operators import quality as Q
+from cardmart.operators.upsert import delta, merge_df, ACTION
+from cardmart.plans import models as M
+from cardmart.plans.catalog import query
+from cardmart.plans.oracle_views import with_views
+from cardmart.plans.queries_pipeline import fact
+from cardmart.sources import driver_tables as DT
+
+# A fixed high-water mark inside the test tables' load-time range.
+MARK = dt.datetime(1997, 6, 1, 2, 30, 0)
+MARK_SQL = "TIMESTAMP '1997-06-01 02:30:00'"
+# Split of the transactions into "already loaded" and "arriving" for the merge query.
+CUT_OLD, CUT_NEW = dt.datetime(1997, 1, 1), dt.datetime(1996, 1, 1)
+
+
+def _models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = DT.raw_tables(spark, sf_dir)
+    return {**raw, **M.build_all(raw)}
+
+
+# --- aggregates --------------------------------------------------------------------------------
+
+@query("a01_count_star", with_views(
+    "SELECT CAST(count(*) AS BIGINT) AS fact_payment_ledger_rows FROM fact_payment_ledger",
+    "fact_payment_ledger"))
+def a01(spark, sf_dir):
+    return fact(spark, sf_dir).agg(F.count(F.lit(1)).alias("fact_payment_ledger_rows"))
+
+
+@query("a05_watermark", with_views(
+    "SELECT max(_loaded_at) AS max_loaded_at FROM raw_transactions", "raw_transactions"))
+def a05(spark, sf_dir):
+    return DT.raw_transactions(spark, sf_dir).agg(F.max("_loaded_at").alias("max_loaded_at"))
+
+
+@query("a06_group_count", with_views(
+    "SELECT dispute_category, CAST(count(*) AS BIGINT) AS memos FROM dispute_memos "
+    "GROUP BY 1 ORDER BY memos DESC, dispute_category", "dispute_memos"))
+def a06(spark, sf_dir):
+    return (DT.dispute_memos(spark, sf_dir).groupBy("dispute_category")
+            .agg(F.count(F.lit(1)).alias("memos"))
+            .orderBy(F.col("memos").desc(), "dispute_category"))
+
+
+@query("a07_count_if", with_views(
+    "SELECT CAST(count(*) FILTER (WHERE auth_status = 'DECLINED') AS BIGINT) AS declined, "
+    "CAST(count(*) FILTER (WHERE is_international) AS BIGINT) AS international FROM raw_transactions",
+    "raw_transactions"))
+def a07(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir)
+    return t.agg(F.count_if(F.col("auth_status") == "DECLINED").alias("declined"),
+                 F.count_if(F.col("is_international")).alias("international"))
+
+
+@query("a11_having_topk", with_views("""
+SELECT m.merchant_name, CAST(count(*) AS BIGINT) AS dispute_count
+FROM dispute_memos d JOIN raw_merchant_master m USING (merchant_id)
+GROUP BY m.merchant_name HAVING count(*) >= 3
+ORDER BY dispute_count DESC, merchant_name LIMIT 10""", "dispute_memos", "raw_merchant_master"))
+def a11(spark, sf_dir):
+    d = DT.dispute_memos(spark, sf_dir)
+    m = DT.merchant_master(spark, sf_dir)
+    return (d.join(m, "merchant_id").groupBy("merchant_name")
+            .agg(F.count(F.lit(1)).alias("dispute_count"))
+            .filter(F.col("dispute_count") >= 3)
+            .orderBy(F.col("dispute_count").desc(), "merchant_name").limit(10))
+
+
+RAW_NAMES = ["dispute_memos", "raw_card_master", "raw_gateway_log", "raw_merchant_master",
+             "raw_transactions"]
+
+
+@query("a12_row_counts", with_views(
+    "\nUNION ALL ".join(f"SELECT '{n}' AS tbl, CAST(count(*) AS BIGINT) AS row_count FROM {n}"
+                        for n in RAW_NAMES) + "\nORDER BY tbl", *RAW_NAMES))
+def a12(spark, sf_dir):
+    raw = DT.raw_tables(spark, sf_dir)
+    return Q.row_counts({n: raw[n] for n in RAW_NAMES})
+
+
+# --- joins -------------------------------------------------------------------------------------
+
+@query("j04_exists_flag", with_views("""
+SELECT transaction_id,
+  EXISTS (SELECT 1 FROM dispute_memos d WHERE d.transaction_id = t.transaction_id) AS is_disputed
+FROM stg_transactions t""", "stg_transactions", "dispute_memos"))
+def j04(spark, sf_dir):
+    t = M.stg_transactions(DT.raw_transactions(spark, sf_dir)).select("transaction_id")
+    return J.existence_flag(t, DT.dispute_memos(spark, sf_dir), "transaction_id", "is_disputed")
+
+
+@query("j05_using", with_views("""
+SELECT d.dispute_id, d.merchant_id, m.merchant_name, m.merchant_country
+FROM dispute_memos d JOIN raw_merchant_master m USING (merchant_id)""",
+                               "dispute_memos", "raw_merchant_master"))
+def j05(spark, sf_dir):
+    d = DT.dispute_memos(spark, sf_dir).select("dispute_id", "merchant_id")
+    m = DT.merchant_master(spark, sf_dir).select("merchant_id", "merchant_name", "merchant_country")
+    return d.join(m, "merchant_id")
+
+
+@query("j08_no_events", with_views("""
+SELECT transaction_id, amount FROM raw_transactions t
+WHERE NOT EXISTS (SELECT 1 FROM raw_gateway_log g WHERE g.transaction_id = t.transaction_id)""",
+                                   "raw_transactions", "raw_gateway_log"))
+def j08(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir).select("transaction_id", "amount")
+    return J.anti(t, DT.raw_gateway_log(spark, sf_dir), "transaction_id")
+
+
+@query("j09_orphans", with_views("""
+SELECT g.gateway_log_id, g.transaction_id FROM raw_gateway_log g
+WHERE g.transaction_id IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM raw_transactions t WHERE t.transaction_type <> 'TRANSFER'
+    AND t.transaction_id = g.transaction_id)""", "raw_gateway_log", "raw_transactions"))
+def j09(spark, sf_dir):
+    """Events whose parent is missing (parents filtered to non-transfers to create orphans)."""
+    g = DT.raw_gateway_log(spark, sf_dir).select("gateway_log_id", "transaction_id")
+    parents = DT.raw_transactions(spark, sf_dir).filter(F.col("transaction_type") != "TRANSFER")
+    return J.orphans(g, "transaction_id", parents, "transaction_id")
+
+
+@query("j10_disputed_semi", with_views("""
+SELECT transaction_id, amount, transaction_type FROM raw_transactions t
+WHERE EXISTS (SELECT 1 FROM dispute_memos d WHERE d.transaction_id = t.transaction_id)""",
+                                       "raw_transactions", "dispute_memos"))
+def j10(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir).select("transaction_id", "amount", "transaction_type")
+    return J.semi(t, DT.dispute_memos(spark, sf_dir), "transaction_id")
+
+
+# --- sort / limit / sample ---------------------------------------------------------------------
+
+@query("l01_order_by", with_views(
+    "SELECT currency_code, CAST(count(*) AS BIGINT) AS n FROM raw_transactions "
+    "GROUP BY currency_code ORDER BY currency_code", "raw_transactions"))
+def l01(spark, sf_dir):
+    return (DT.raw_transactions(spark, sf_dir).groupBy("currency_code")
+            .agg(F.count(F.lit(1)).alias("n")).orderBy("currency_code"))
+
+
+@query("l02_topk", with_views("""
+SELECT transaction_id, gross_amount, net_amount FROM fact_payment_ledger
+ORDER BY gross_amount DESC, transaction_id LIMIT 10""", "fact_payment_ledger"))
+def l02(spark, sf_dir):
+    """Top-k report: TakeOrderedAndProject (per-partition top-k, then merge of k rows)."""
+    return (fact(spark, sf_dir).select("transaction_id", "gross_amount", "net_amount")
+            .orderBy(F.col("gross_amount").desc(), "transaction_id").limit(10))
+
+
+@query("l03_preview", with_views("""
+SELECT dispute_id, dispute_category FROM dispute_memos
+ORDER BY CAST(dispute_id AS BIGINT) LIMIT 10""", "dispute_memos"))
+def l03(spark, sf_dir):
+    """A preview gate: LIMIT with an order added so the rows are defined."""
+    return (DT.dispute_memos(spark, sf_dir).select("dispute_id", "dispute_category")
+            .orderBy(F.col("dispute_id").cast("long")).limit(10))
+
+
+def sample_bucket(id_col: str) -> "F.Column":
+    """Engine-independent hash bucket 0..99 of an id (md5-based)."""
+    return F.pmod(F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10)
+                  .cast("long"), F.lit(100))
+
+
+@query("l04_sample", with_views("""
+SELECT dispute_id, dispute_category FROM dispute_memos
+WHERE CAST(concat('0x', substr(md5(dispute_id), 1, 8)) AS BIGINT) % 100 < 10""", "dispute_memos"))
+def l04(spark, sf_dir):
+    """Deterministic 10% sample gate before costly work (the sampling operator itself)."""
+    d = DT.dispute_memos(spark, sf_dir)
+    return d.filter(sample_bucket("dispute_id") < 10).select("dispute_id", "dispute_category")
+
+
+# --- projections / predicates / expressions ----------------------------------------------------
+
+@query("p06_ilike", with_views("""
+SELECT transaction_id, transaction_type, amount FROM raw_transactions
+WHERE transaction_type ILIKE '%refund%'""", "raw_transactions"))
+def p06(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir)
+    return t.filter(F.col("transaction_type").ilike("%refund%")).select(
+        "transaction_id", "transaction_type", "amount")
+
+
+@query("p11_key", with_views("""
+SELECT transaction_id, CAST(concat('0x', substr(md5(transaction_id), 1, 15)) AS BIGINT) AS payment_ledger_key
+FROM raw_transactions""", "raw_transactions"))
+def p11(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir)
+    return t.select("transaction_id", surrogate_key("transaction_id").alias("payment_ledger_key"))
+
+
+@query("p14_dateadd", with_views("""
+SELECT transaction_id, _loaded_at - INTERVAL 30 MINUTE AS window_start FROM raw_transactions""",
+                                 "raw_transactions"))
+def p14(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir)
+    return t.select("transaction_id", minus_minutes("_loaded_at", 30).alias("window_start"))
+
+
+@query("p18_json_path", """
+SELECT event_id, props->>'$.k' AS k, CAST(props->>'$.k' AS BIGINT) AS k_num FROM events""")
+def p18(spark, sf_dir):
+    e = DT.read(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    return e.select("event_id", k.alias("k"), k.cast("long").alias("k_num"))
+
+
+FILTER_TEMPLATE = ("This card dispute describes fraud or a charge the cardholder does not "
+                   "recognize: {0}")
+
+
+@query("p20_prompt", with_views(f"""
+SELECT dispute_id, replace('{FILTER_TEMPLATE}', '{{0}}', memo_text) AS prompt FROM dispute_memos""",
+                                "dispute_memos"))
+def p20(spark, sf_dir):
+    d = DT.dispute_memos(spark, sf_dir)
+    return d.select("dispute_id", prompt(FILTER_TEMPLATE, F.col("memo_text")).alias("prompt"))
+
+
+@query("p21_load_batch", with_views(
+    "SELECT transaction_id, transaction_timestamp, _loaded_at FROM raw_transactions",
+    "raw_transactions"))
+def p21(spark, sf_dir):
+    return DT.raw_transactions(spark, sf_dir).select("transaction_id", "transaction_timestamp",
+                                                     "_loaded_at")
+
+
+@query("p22_cross_border", with_views("""
+SELECT t.transaction_id, c.currency_code AS card_currency, t.currency_code AS merchant_currency,
+  c.currency_code <> t.currency_code AS is_international
+FROM raw_transactions t JOIN raw_card_master c ON t.card_id = c.card_id""",
+                                      "raw_transactions", "raw_card_master"))
+def p22(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir).select("transaction_id", "card_id",
+                                                  F.col("currency_code").alias("merchant_currency"))
+    c = DT.card_master(spark, sf_dir).select("card_id", F.col("currency_code").alias("card_currency"))
+    return t.join(c, "card_id").select(
+        "transaction_id", "card_currency", "merchant_currency",
+        cross_border("card_currency", "merchant_currency").alias("is_international"))
+
+
+@query("p16_round", with_views("""
+SELECT transaction_type, CAST(round(sum(amount), 0) AS DECIMAL(18,0)) AS total_rounded
+FROM raw_transactions GROUP BY transaction_type""", "raw_transactions"))
+def p16(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir)
+    return t.groupBy("transaction_type").agg(
+        F.round(F.sum("amount"), 0).cast("decimal(18,0)").alias("total_rounded"))
+
+
+# --- upsert and watermark (as pure queries over the test tables) -------------------------------
+
+def _split(spark, sf_dir):
+    """Target = transactions before CUT_OLD; source = transactions from CUT_NEW on, amount + 1."""
+    stg = M.stg_transactions(DT.raw_transactions(spark, sf_dir))
+    target = stg.filter(F.col("transaction_timestamp") < F.lit(CUT_OLD))
+    source = (stg.filter(F.col("transaction_timestamp") >= F.lit(CUT_NEW))
+              .withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)")))
+    return target, source
+
+
+@query("u01_merge", with_views("""
+SELECT coalesce(s.transaction_id, t.transaction_id) AS transaction_id,
+  CASE WHEN s.transaction_id IS NOT NULL THEN s.amount ELSE t.amount END AS amount,
+  CASE WHEN s.transaction_id IS NOT NULL THEN s.transaction_type ELSE t.transaction_type END AS transaction_type,
+  CASE WHEN s.transaction_id IS NOT NULL AND t.transaction_id IS NOT NULL THEN 'update'
+       WHEN s.transaction_id IS NOT NULL THEN 'insert' ELSE 'keep' END AS _merge_action
+FROM (SELECT * FROM stg_transactions WHERE transaction_timestamp < TIMESTAMP '1997-01-01') t
+FULL JOIN (SELECT transaction_id, transaction_type, CAST(amount + 1 AS DECIMAL(12,2)) AS amount
+           FROM stg_transactions WHERE transaction_timestamp >= TIMESTAMP '1996-01-01') s
+  ON t.transaction_id = s.transaction_id""", "stg_transactions"))
+def u01(spark, sf_dir):
+    target, source = _split(spark, sf_dir)
+    merged = merge_df(target.select("transaction_id", "amount", "transaction_type"),
+                      source.select("transaction_id", "amount", "transaction_type"),
+                      "transaction_id", inserted_at=None, updated_at=None)
+    return merged.select("transaction_id", "amount", "transaction_type", ACTION)
+
+
+@query("u08_delta", with_views(f"""
+SELECT transaction_id, _loaded_at FROM raw_transactions WHERE _loaded_at > {MARK_SQL}""",
+                               "raw_transactions"))
+def u08(spark, sf_dir):
+    return delta(DT.raw_transactions(spark, sf_dir), MARK).select("transaction_id", "_loaded_at")
+
+
+@query("u10_advance", with_views(f"""
+SELECT 'raw_transactions' AS source_table,
+  coalesce(max(_loaded_at), {MARK_SQL}) AS last_loaded_at,
+  CAST(count(*) AS BIGINT) AS rows_in_slice
+FROM raw_transactions WHERE _loaded_at > {MARK_SQL}""", "raw_transactions"))
+def u10(spark, sf_dir):
+    """New mark = max load time of the merged slice; unchanged when the slice is empty."""
+    d = delta(DT.raw_transactions(spark, sf_dir), MARK)
+    return d.agg(F.coalesce(F.max("_loaded_at"), F.lit(MARK).cast("timestamp_ntz"))
+                 .alias("last_loaded_at"), F.count(F.lit(1)).alias("rows_in_slice")).select(
+        F.lit("raw_transactions").alias("source_table"), "last_loaded_at", "rows_in_slice")
+
+
+@query("s14_seed_anti", with_views("""
+SELECT source_table, last_loaded_at FROM (
+  SELECT 'raw_transactions' AS source_table, max(_loaded_at) AS last_loaded_at FROM raw_transactions) ctl
+UNION ALL
+SELECT s.source_table, TIMESTAMP '1970-01-01 00:00:00'
+FROM (VALUES ('raw_transactions'), ('raw_gateway_log')) s(source_table)
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT 'raw_transactions' AS source_table) c
+                  WHERE c.source_table = s.source_table)""", "raw_transactions"))
+def s14(spark, sf_dir):
+    ctl = DT.raw_transactions(spark, sf_dir).agg(F.max("_loaded_at").alias("last_loaded_at")) \
+        .select(F.lit("raw_transactions").alias("source_table"), "last_loaded_at")
+    seed = spark.createDataFrame([("raw_transactions",), ("raw_gateway_log",)],
+                                 "source_table string").select(
+        "source_table", F.lit(K.EPOCH).cast("timestamp_ntz").alias("last_loaded_at"))
+    return ctl.unionByName(J.seed_if_absent(ctl, seed, "source_table"))
+
+
+# --- data tests --------------------------------------------------------------------------------
+
+def _suite_sql(checks) -> str:
+    parts = []
+    for c in checks:
+        if c.kind == "unique":
+            f = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL "
+                 f"GROUP BY {c.column} HAVING count(*) > 1))")
+        elif c.kind == "not_null":
+            f = f"(SELECT count(*) FROM {c.model} WHERE {c.column} IS NULL)"
+        else:
+            f = (f"(SELECT count(*) FROM {c.model} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {c.to_model} p WHERE p.{c.to_column} = ch.{c.column}))")
+        parts.append(f"SELECT '{c.name}' AS test_name, '{c.model}' AS model, '{c.column}' AS column_name, "
+                     f"'{c.kind}' AS test_kind, CAST({f} AS BIGINT) AS failures")
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status "
+            f"FROM ({body}) x")
+
+
+_ALL_MODELS = ["raw_transactions", "raw_gateway_log", "raw_card_master", "raw_merchant_master",
+               "dispute_memos", "stg_transactions", "stg_gateway_log", "int_transactions_enriched",
+               "int_settlements", "int_fees", "dim_merchant", "dim_card", "dim_mcc", "dim_currency",
+               "fact_payment_ledger"]
+
+
+@query("q04_suite", with_views(_suite_sql(Q.LEDGER_CHECKS), *_ALL_MODELS))
+def q04(spark, sf_dir):
+    return Q.run_suite(_models(spark, sf_dir))
+
+
+_UNIQ = [c for c in Q.LEDGER_CHECKS if c.kind == "unique"]
+_NN = [c for c in Q.LEDGER_CHECKS if c.kind == "not_null"]
+_REL = [c for c in Q.LEDGER_CHECKS if c.kind == "relationships"]
+
+
+@query("q01_unique", with_views(_suite_sql(_UNIQ), *_ALL_MODELS))
+def q01(spark, sf_dir):
+    return Q.run_suite(_models(spark, sf_dir), _UNIQ)
+
+
+@query("q02_not_null", with_views(_suite_sql(_NN), *_ALL_MODELS))
+def q02(spark, sf_dir):
+    return Q.run_suite(_models(spark, sf_dir), _NN)
+
+
+@query("q03_relationships", with_views(_suite_sql(_REL), *_ALL_MODELS))
+def q03(spark, sf_dir):
+    return Q.run_suite(_models(spark, sf_dir), _REL)
+
+
+@query("q05_counts_match", with_views("""
+SELECT 'transactions' AS pair, (SELECT count(*) FROM raw_transactions) AS left_rows,
+  (SELECT count(*) FROM stg_transactions) AS right_rows,
+  (SELECT count(*) FROM raw_transactions) = (SELECT count(*) FROM stg_transactions) AS counts_equal
+UNION ALL
+SELECT 'gateway', (SELECT count(*) FROM raw_gateway_log), (SELECT count(*) FROM stg_gateway_log),
+  (SELECT count(*) FROM raw_gateway_log) = (SELECT count(*) FROM stg_gateway_log)""",
+                                      "stg_transactions", "stg_gateway_log"))
+def q05(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return Q.counts_match({"transactions": (m["raw_transactions"], m["stg_transactions"]),
+                           "gateway": (m["raw_gateway_log"], m["stg_gateway_log"])})
+
+
+@query("q06_fact_checks", with_views("""
+SELECT (SELECT count(*) FROM fact_payment_ledger) <= (SELECT count(*) FROM raw_transactions) AS rows_le_transactions,
+  (SELECT sum(net_amount) FROM fact_payment_ledger) IS NOT NULL AS total_not_null,
+  (SELECT count(*) FILTER (WHERE is_disputed) FROM fact_payment_ledger) > 0 AS has_disputed""",
+                                     "fact_payment_ledger", "raw_transactions"))
+def q06(spark, sf_dir):
+    """Fact rows <= transactions, total not NULL, some disputed -- one folded aggregate."""
+    f = fact(spark, sf_dir).select(F.lit("fact").alias("src"), "net_amount", "is_disputed")
+    t = DT.raw_transactions(spark, sf_dir).select(
+        F.lit("txn").alias("src"), F.lit(None).cast("decimal(16,4)").alias("net_amount"),
+        F.lit(False).alias("is_disputed"))
+    agg = f.unionByName(t).agg(
+        F.count_if(F.col("src") == "fact").alias("n"), F.count_if(F.col("src") == "txn").alias("n_tx"),
+        F.sum(F.when(F.col("src") == "fact", F.col("net_amount"))).alias("total"),
+        F.count_if(F.col("is_disputed")).alias("disputed"))
+    return agg.select((F.col("n") <= F.col("n_tx")).alias("rows_le_transactions"),
+                      F.col("total").isNotNull().alias("total_not_null"),
+                      (F.col("disputed") > 0).alias("has_disputed"))
+
+
+@query("q07_grain", with_views("""
+SELECT transaction_id, CAST(count(*) AS BIGINT) AS n FROM raw_gateway_log
+GROUP BY transaction_id HAVING count(*) > 1""", "raw_gateway_log"))
+def q07(spark, sf_dir):
+    """Grain check: gateway events are NOT one per transaction (why the window is needed)."""
+    from cardmart.operators.upsert import duplicate_keys
+    return duplicate_keys(DT.raw_gateway_log(spark, sf_dir).select("transaction_id"),
+                          "transaction_id").withColumnRenamed("count", "n")
+
+
+@query("q08_profile", with_views("""
+SELECT transaction_type, CAST(count(*) AS BIGINT) AS n, min(amount) AS min_amount,
+  max(amount) AS max_amount, CAST(sum(amount) AS DECIMAL(22,2)) AS sum_amount,
+  CAST(count(DISTINCT merchant_id) AS BIGINT) AS merchants,
+  CAST(count(DISTINCT hour(_loaded_at)) AS BIGINT) AS load_hours
+FROM raw_transactions GROUP BY transaction_type""", "raw_transactions"))
+def q08(spark, sf_dir):
+    t = DT.raw_transactions(spark, sf_dir)
+    return t.groupBy("transaction_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("amount").alias("min_amount"),
+        F.max("amount").alias("max_amount"),
+        F.sum("amount").cast("decimal(22,2)").alias("sum_amount"),
+        F.countDistinct("merchant_id").alias("merchants"),
+        F.countDistinct(F.hour("_loaded_at")).alias("load_hours"))
+
+
+@query("x02_parity", with_views("""
+SELECT 'none' AS side, transaction_id FROM fact_payment_ledger WHERE false""",
+                                "fact_payment_ledger"))
+def x02(spark, sf_dir):
+    """Rebuild fact vs. the fact joined from stored-style intermediates: no row differs."""
+    from cardmart.plans.pipeline import fact_from_intermediates
+    raw = DT.raw_tables(spark, sf_dir)
+    m = M.build_all(raw)
+    a = m["fact_payment_ledger"].withColumn("net_amount", F.col("net_amount").cast("decimal(12,2)"))
+    settled_fees = M.int_fees(m["stg_gateway_log"], settled_only=True)
+    b = fact_from_intermediates(m["int_transactions_enriched"], m["int_settlements"], settled_fees,
+                                raw["dispute_memos"]).drop("dw_load_timestamp")
+    only_a, only_b = Q.parity(a, b)
+    return (only_a.select(F.lit("rebuild").alias("side"), "transaction_id")
+            .unionByName(only_b.select(F.lit("upsert").alias("side"), "transaction_id")))
+
+
+@query("x01_union_all", with_views("""
+SELECT 'card' AS kind, card_id AS id FROM raw_card_master
+UNION ALL SELECT 'merchant', merchant_id FROM raw_merchant_master""",
+                                   "raw_card_master", "raw_merchant_master"))
+def x01(spark, sf_dir):
+    c = DT.card_master(spark, sf_dir).select(F.lit("card").alias("kind"), F.col("card_id").alias("id"))
+    m = DT.merchant_master(spark, sf_dir).select(F.lit("merchant").alias("kind"),
+                                                 F.col("merchant_id").alias("id"))
+    return reduce(DataFrame.unionByName, [c, m])
