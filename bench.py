@@ -37,7 +37,6 @@ def main() -> None:
                       extra_conf={"spark.driver.memory": "16g",
                                   "spark.checkpoint.dir": f"{scratch}/ckpt",
                                   "spark.local.dir": f"{scratch}/local"})
-    spark.conf.set("spark.checkpoint.dir", f"{scratch}/ckpt")
 
     from cardmart.plans.catalog import QUERIES, load_all
     load_all()

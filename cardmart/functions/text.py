@@ -68,8 +68,13 @@ def sentiment_label(text: str | Column, positive: Sequence[str] = POSITIVE,
     mixed; no hit is neutral."""
     w = words(text)
     pos, neg = lexicon_hits(w, positive), lexicon_hits(w, negative)
-    return (F.when(_c(text).isNull(), F.lit(None).cast("string"))
-            .when(pos > neg, "positive").when(pos < neg, "negative")
+    return F.when(_c(text).isNull(), F.lit(None).cast("string")).otherwise(
+        sentiment_rule(pos, neg))
+
+
+def sentiment_rule(pos: Column, neg: Column) -> Column:
+    """Label from positive / negative hit counts."""
+    return (F.when(pos > neg, "positive").when(pos < neg, "negative")
             .when(pos + neg > 0, "mixed").otherwise("neutral"))
 
 
@@ -244,10 +249,13 @@ def ai_filter(text: str | Column, terms: Sequence[str] = FRAUD_TERMS,
               threshold: float = 0.001) -> Column:
     """Topic-term hits / words >= threshold (double division; zero words -> false)."""
     w = words(text)
-    n = F.size(w)
-    hits = lexicon_hits(w, terms)
-    return F.coalesce(F.when(n > 0, (hits.cast("double") / n.cast("double")) >= F.lit(threshold)),
-                      F.lit(False))
+    return filter_rule(lexicon_hits(w, terms), F.size(w), threshold)
+
+
+def filter_rule(hits: Column, n_words: Column, threshold: float) -> Column:
+    """hits / words >= threshold in double; zero words -> false."""
+    return F.coalesce(F.when(n_words > 0, (hits.cast("double") / n_words.cast("double"))
+                             >= F.lit(threshold)), F.lit(False))
 
 
 # --- P20 prompt templates / T10 replies / T13 truncation ---------------------------------------
@@ -323,7 +331,12 @@ def triage(text: str | Column, label: str | Column) -> Column:
     severity HIGH with >= 3 severity-term hits, MEDIUM with >= 1, else LOW;
     refund recommended for labels in ``REFUND_LABELS``; action by label.
     """
-    hits = lexicon_hits(words(text), SEVERITY_TERMS)
+    return triage_rule(lexicon_hits(words(text), SEVERITY_TERMS), label)
+
+
+def triage_rule(severity_hits: Column, label: str | Column) -> Column:
+    """The triage struct from the severity-term hit count and the predicted label."""
+    hits = severity_hits
     sev = F.when(hits >= 3, "HIGH").when(hits >= 1, "MEDIUM").otherwise("LOW")
     lab = _c(label)
     refund = F.coalesce(lab.isin(*REFUND_LABELS), F.lit(False))

@@ -96,12 +96,17 @@ def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: st
                  .groupBy(group_col).agg(F.array_join(F.transform(
                      F.array_sort(F.collect_list(F.struct("_r", "word"))), lambda x: x["word"]),
                      ", ").alias("terms")))
+    # representative text: score every text by the mean IDF of its words, carrying only
+    # (id, group, word) through the shuffle; the text itself is joined back for the
+    # single winner of each group.
     idf = idf_table(base, "_id", text_col)
-    doc_score = (base.select("_id", group_col, text_col, F.explode(words(text_col)).alias("word"))
-                 .join(idf, "word").groupBy("_id", group_col, text_col)
+    doc_score = (base.select("_id", group_col, F.explode(words(text_col)).alias("word"))
+                 .join(idf, "word").groupBy("_id", group_col)
                  .agg(F.avg("idf").alias("score")))
-    rep = doc_score.groupBy(group_col).agg(
-        F.max_by(F.substring(text_col, 1, 160), F.struct("score", F.col("_id"))).alias("rep"))
+    best = doc_score.groupBy(group_col).agg(
+        F.max_by("_id", F.struct("score", F.col("_id"))).alias("_id"))
+    rep = best.join(base.select("_id", group_col, F.substring(text_col, 1, 160).alias("rep")),
+                    ["_id", group_col]).select(group_col, "rep")
     out = counts.join(top_terms, group_col, "left").join(rep, group_col, "left")
     insight = F.format_string(
         "%d disputes; most common problem: %s; recurring terms: %s. Representative memo: %s",

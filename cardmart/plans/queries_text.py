@@ -8,6 +8,7 @@ from cardmart import constants as K
 from cardmart.functions import text as TX
 from cardmart.operators import text_agg as TA
 from cardmart.operators.evaluate import accuracy, confusion_misses, flag_overlap
+from cardmart.operators.lexicon import argmax_label, classify_frame, hit_counts
 from cardmart.plans.catalog import query
 from cardmart.plans.oracle_views import with_views
 from cardmart.sources import driver_tables as DT
@@ -24,11 +25,6 @@ def hits_sql(words: str, lexicon) -> str:
     return f"len(list_filter({words}, lambda w: w IN ({_in(lexicon)})))"
 
 
-def _memos(spark, sf_dir):
-    """Memos with their word array computed once (reused by every lexicon)."""
-    return DT.dispute_memos(spark, sf_dir).withColumn("_w", TX.words("memo_text"))
-
-
 # --- T06 / A10 tokens ----------------------------------------------------------------------------
 
 @query("t06_tokens", with_views(f"""
@@ -64,19 +60,21 @@ _SENT_FROM = f"""(SELECT *, {hits_sql('w', TX.POSITIVE)} AS p, {hits_sql('w', TX
 @query("t01_sentiment", with_views(f"""
 SELECT dispute_id, {_SENT_SQL} AS overall_sentiment FROM {_SENT_FROM}""", "dispute_memos"))
 def t01(spark, sf_dir):
-    d = _memos(spark, sf_dir)
-    s = TX.sentiment("memo_text")
-    return d.select("dispute_id",
-                    F.get(s.getField("categories"), 0).getField("sentiment")
-                    .alias("overall_sentiment"))
+    return _sentiment(spark, sf_dir).select("dispute_id", "overall_sentiment")
+
+
+def _sentiment(spark, sf_dir):
+    d = DT.dispute_memos(spark, sf_dir)
+    h = hit_counts(d, ["dispute_id"], "memo_text", {"pos": TX.POSITIVE, "neg": TX.NEGATIVE})
+    return h.withColumn("overall_sentiment", TX.sentiment_rule(F.col("pos"), F.col("neg")))
 
 
 @query("t02_sentiment_dist", with_views(f"""
 SELECT {_SENT_SQL} AS sentiment, CAST(count(*) AS BIGINT) AS memos FROM {_SENT_FROM}
 GROUP BY 1 ORDER BY memos DESC""", "dispute_memos"))
 def t02(spark, sf_dir):
-    d = _memos(spark, sf_dir)
-    return (d.groupBy(TX.sentiment_label("memo_text").alias("sentiment"))
+    s = _sentiment(spark, sf_dir)
+    return (s.groupBy(F.col("overall_sentiment").alias("sentiment"))
             .agg(F.count(F.lit(1)).alias("memos")).orderBy(F.col("memos").desc()))
 
 
@@ -100,7 +98,10 @@ SELECT doc_id, lang, {_LANG_CASE} AS detected_lang FROM (
     FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents)))""")
 def t04_detect(spark, sf_dir):
     d = DT.read(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", TX.detect_language("text").alias("detected_lang"))
+    h = hit_counts(d, ["doc_id"], "text", {lang: TX.STOPWORDS[lang] for lang in TX.LANGS},
+                   carry=["lang"])
+    pred = argmax_label([F.col(lang) for lang in TX.LANGS], TX.LANGS)
+    return h.select("doc_id", "lang", pred.alias("detected_lang"))
 
 
 @query("t04_translate")
@@ -149,10 +150,11 @@ PRED_SQL = _classify_sql()
 
 
 def predictions(spark, sf_dir):
-    d = _memos(spark, sf_dir)
-    return d.select("dispute_id", F.col("dispute_category").alias("actual_category"),
-                    F.get(TX.classify("memo_text", LABELS).getField("labels"), 0)
-                    .alias("predicted_category"))
+    d = DT.dispute_memos(spark, sf_dir)
+    p = classify_frame(d, ["dispute_id"], "memo_text", LABELS, carry=["dispute_category"],
+                       out_col="predicted_category")
+    return p.select("dispute_id", F.col("dispute_category").alias("actual_category"),
+                    "predicted_category")
 
 
 @query("t07_classify", with_views(f"SELECT * FROM {PRED_SQL}", "dispute_memos"))
@@ -208,8 +210,8 @@ LANG_PRED_SQL = _lang_pred_sql()
 
 def lang_predictions(spark, sf_dir):
     d = DT.read(spark, sf_dir, "documents")
-    return d.select("doc_id", F.col("lang").alias("actual"),
-                    F.get(TX.classify("text", LANG_LABELS).getField("labels"), 0).alias("predicted"))
+    p = classify_frame(d, ["doc_id"], "text", LANG_LABELS, carry=["lang"])
+    return p.select("doc_id", F.col("lang").alias("actual"), "predicted")
 
 
 @query("t07_classify_described", f"SELECT * FROM {LANG_PRED_SQL}")
@@ -244,16 +246,17 @@ def _eval_frame(spark, sf_dir):
     by symbol-heavy or shouting text."""
     d = DT.read(spark, sf_dir, "documents")
     lab = DT.read(spark, sf_dir, "labels")
-    w = TX.words("text")
     n_tok = F.greatest(F.size(TX.tokens("text")), F.lit(1)).cast("double")
     n_sym = F.size(F.regexp_extract_all("text", F.lit(SYMBOL_RE), 0)).cast("double")
     n_alpha = F.greatest(F.size(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)), F.lit(1))
     n_caps = F.size(F.regexp_extract_all("text", F.lit(CAPS_RE), 0)).cast("double")
     low_q = (n_sym / n_tok > 0.45) | (n_caps / n_alpha.cast("double") > 0.1)
-    return lab.join(d, "doc_id").select(
-        "doc_id", "quality", "toxic",
-        F.when(TX.lexicon_hits(w, TOXIC_TERMS) > 0, 1).otherwise(0).alias("toxic_pred"),
-        F.when(low_q, 0).otherwise(1).alias("quality_pred"))
+    labelled = lab.join(d, "doc_id").select(
+        "doc_id", "quality", "toxic", "text", F.when(low_q, 0).otherwise(1).alias("quality_pred"))
+    h = hit_counts(labelled, ["doc_id"], "text", {"tox": TOXIC_TERMS},
+                   carry=["quality", "toxic", "quality_pred"])
+    return h.select("doc_id", "quality", "toxic", "quality_pred",
+                    F.when(F.col("tox") > 0, 1).otherwise(0).alias("toxic_pred"))
 
 
 @query("t08_eval", f"""
@@ -303,7 +306,9 @@ _FILTER_SQL = f"""
 def _flagged(spark, sf_dir):
     """The filter's instruction (FILTER_TEMPLATE) selects the topic terms; the memo is scored."""
     d = DT.dispute_memos(spark, sf_dir)
-    return d.withColumn("flagged", TX.ai_filter(F.col("memo_text"), TX.FRAUD_TERMS, 0.001))
+    h = hit_counts(d, ["dispute_id"], "memo_text", {"topic": TX.FRAUD_TERMS},
+                   carry=["dispute_category"], with_word_count=True)
+    return h.withColumn("flagged", TX.filter_rule(F.col("topic"), F.col("n_words"), 0.001))
 
 
 @query("t09_filter", with_views(f"""
@@ -371,9 +376,13 @@ FROM {PRED_SQL} p JOIN (
 
 @query("t14_triage", with_views(_triage_sql(), "dispute_memos"))
 def t14(spark, sf_dir):
-    d = _memos(spark, sf_dir)
-    lab = TX.classify_label("memo_text", LABELS)
-    t = d.select("dispute_id", TX.triage("memo_text", lab).alias("triage"))
+    d = DT.dispute_memos(spark, sf_dir)
+    kw = TX.keywords_from_labels(LABELS)
+    lex = {f"_h{i}": kw[lab] for i, lab in enumerate(LABELS)}
+    lex["_sev"] = TX.SEVERITY_TERMS
+    h = hit_counts(d, ["dispute_id"], "memo_text", lex)
+    lab = argmax_label([F.col(f"_h{i}") for i in range(len(LABELS))], LABELS)
+    t = h.select("dispute_id", TX.triage_rule(F.col("_sev"), lab).alias("triage"))
     return t.select("dispute_id", "triage.severity", "triage.refund_recommended",
                     "triage.recommended_action")
 

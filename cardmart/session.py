@@ -73,13 +73,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the platform sets it to a shared (distributed) folder and we
     only read it.  Only when it is unset -- local tests and the bench -- do we
-    create a private scratch folder for it.
+    create a private scratch folder and register it with the SparkContext.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="cardmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        try:
+            configured = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 -- not visible through the session conf
+            configured = None
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    current = tempfile.mkdtemp(prefix="cardmart-ckpt-")
+    sc.setCheckpointDir(current)
     return current
 
 
