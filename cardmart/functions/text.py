@@ -143,13 +143,14 @@ def translate(text: str | Column, source: str, target: str) -> Column:
 
 # --- T05 extract answer ------------------------------------------------------------------------
 
-# FIXED VALUES: answer slots -- question keyword -> pattern of the answer.
+# FIXED VALUES: answer slots -- question keyword -> pattern; the answer is group 1,
+# fenced by non-digits so a reason code is not read out of an amount.
 SLOTS = [
-    ("amount", r"[0-9]+\.[0-9]{2}"),
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
-    ("date", r"[0-9]{4}-[0-9]{2}-[0-9]{2}"),
-    ("reason", r"[0-9]{2}\.[0-9]"),
-    ("currency", r"\b(USD|GBP|EUR|CAD|AUD|JPY|INR)\b"),
+    ("amount", r"(?:^|[^0-9.])([0-9]+\.[0-9]{2})(?:[^0-9]|$)"),
+    ("email", r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})"),
+    ("date", r"(?:^|[^0-9])([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[^0-9]|$)"),
+    ("reason", r"(?:^|[^0-9.])([0-9]{2}\.[0-9])(?:[^0-9]|$)"),
+    ("currency", r"(?:^|[^A-Z])(USD|GBP|EUR|CAD|AUD|JPY|INR)(?:[^A-Z]|$)"),
 ]
 
 
@@ -171,7 +172,7 @@ def extract_answer(text: str | Column, question: str) -> Column:
     """``[{answer, score}]`` -- the first match of the question's slot pattern,
     score 1.0; no match is an empty array."""
     pattern = dict(SLOTS)[slot_for(question)]
-    m = F.regexp_extract(_c(text), pattern, 0)
+    m = F.regexp_extract(_c(text), pattern, 1)
     item = F.struct(m.alias("answer"), F.lit(1.0).alias("score"))
     return F.when(m == "", F.array().cast("array<struct<answer:string,score:double>>")) \
         .otherwise(F.array(item))

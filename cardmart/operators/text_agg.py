@@ -105,7 +105,7 @@ def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: st
                  .agg(F.avg("idf").alias("score")))
     best = doc_score.groupBy(group_col).agg(
         F.max_by("_id", F.struct("score", F.col("_id"))).alias("_id"))
-    rep = best.join(base.select("_id", group_col, F.substring(text_col, 1, 160).alias("rep")),
+    rep = best.join(base.select("_id", group_col, F.col(text_col).alias("rep")),
                     ["_id", group_col]).select(group_col, "rep")
     out = counts.join(top_terms, group_col, "left").join(rep, group_col, "left")
     insight = F.format_string(

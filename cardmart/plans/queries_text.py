@@ -118,8 +118,8 @@ _RSN = dict(TX.SLOTS)["reason"]
 
 
 @query("t05_extract", with_views(f"""
-SELECT dispute_id, nullif(regexp_extract(memo_text, '{_AMT}', 0), '') AS disputed_amount,
-  nullif(regexp_extract(memo_text, '{_RSN}', 0), '') AS extracted_reason
+SELECT dispute_id, nullif(regexp_extract(memo_text, '{_AMT}', 1), '') AS disputed_amount,
+  nullif(regexp_extract(memo_text, '{_RSN}', 1), '') AS extracted_reason
 FROM dispute_memos""", "dispute_memos"))
 def t05(spark, sf_dir):
     d = DT.dispute_memos(spark, sf_dir)

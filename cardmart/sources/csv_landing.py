@@ -89,9 +89,11 @@ def validation_report(spark: SparkSession, path: str | Sequence[str],
     are found with ``try_cast`` (non-NULL in, NULL out).
     """
     s = read_strings(spark, path, schema, "PERMISSIVE")
+    # the corrupt-record column may not be read alone: reference the parsed fields too
+    raw_line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.col(f.name) for f in schema.fields]))
     malformed = s.filter(F.col(CORRUPT).isNotNull()).select(
         "_file", F.lit(None).cast("string").alias("column_name"),
-        F.col(CORRUPT).alias("value"), F.lit("malformed row").alias("reason"))
+        raw_line.alias("value"), F.lit("malformed row").alias("reason"))
     parts = [malformed]
     ok = s.filter(F.col(CORRUPT).isNull())
     for f in schema.fields:
