@@ -45,28 +45,61 @@ def check_unique_keys(source: DataFrame, key: str | Sequence[str]) -> None:
         raise DuplicateKeyError(f"source key {dict(dup[0].asDict())} occurs more than once")
 
 
+# Above this many source keys the merge shuffles both sides (full outer join);
+# at or below it the source keys are broadcast and the target is never shuffled.
+BROADCAST_KEY_ROWS = 2_000_000
+
+
 def merge_df(target: DataFrame, source: DataFrame, key: str | Sequence[str],
              update_cols: Sequence[str] | None = None,
              inserted_at: str | None = "dw_inserted_at",
              updated_at: str | None = "dw_updated_at",
-             now: Column | None = None, with_action: bool = True) -> DataFrame:
+             now: Column | None = None, with_action: bool = True,
+             strategy: str = "auto", source_rows: int | None = None,
+             broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
     """Upsert ``source`` into ``target`` by ``key``; returns the new table.
 
     Matched rows take the source value of every ``update_cols`` column (default:
     all source columns), keep the rest; unmatched source rows are inserted;
     target-only rows are kept unchanged.  ``inserted_at`` is set on insert only,
-    ``updated_at`` on insert and update.
+    ``updated_at`` on insert and update.  Source keys must be unique.
+
+    Strategy ``auto`` counts the source keys (or takes ``source_rows``):
+
+    * ``broadcast`` (small delta): kept = target anti-join the broadcast source
+      keys, matched = target semi-join them -- the big side is streamed and
+      rewritten but never shuffled; only matched rows meet the source.
+    * ``shuffle`` (large delta): one full outer join, both sides hashed by key
+      (AQE splits a skewed key's partition).
     """
     ks = _keys(key)
     now = load_time() if now is None else now
-    tcols = target.columns
-    audit = {c for c in (inserted_at, updated_at) if c}
+    if strategy == "auto":
+        n = source_rows if source_rows is not None else source.select(*ks).count()
+        strategy = "broadcast" if n <= broadcast_rows else "shuffle"
     src_cols = [c for c in source.columns if c not in ks]
-    upd = set(update_cols) if update_cols is not None else set(src_cols)
     s = source.select(*ks, *[F.col(c).alias(f"__s_{c}") for c in src_cols],
                       F.lit(True).alias("__in_s"))
     t = target.withColumn("__in_t", F.lit(True))
-    j = t.join(s, ks, "full_outer")
+    cols = _merge_columns(target.columns, ks, src_cols, update_cols, inserted_at, updated_at,
+                          now, with_action)
+    if strategy == "shuffle":
+        return t.join(s, ks, "full_outer").select(*cols)
+    if strategy != "broadcast":
+        raise ValueError(f"unknown merge strategy {strategy}")
+    src_keys = F.broadcast(source.select(*ks))  # size checked above
+    kept = target.join(src_keys, ks, "left_anti")
+    if with_action:
+        kept = kept.withColumn(ACTION, F.lit("keep"))
+    matched = t.join(src_keys, ks, "left_semi")
+    changed = s.join(matched, ks, "left").select(*cols)
+    return kept.unionByName(changed)
+
+
+def _merge_columns(tcols, ks, src_cols, update_cols, inserted_at, updated_at, now,
+                   with_action) -> list[Column]:
+    audit = {c for c in (inserted_at, updated_at) if c}
+    upd = set(update_cols) if update_cols is not None else set(src_cols)
     in_s, in_t = F.col("__in_s").isNotNull(), F.col("__in_t").isNotNull()
     out = []
     for c in tcols:
@@ -87,7 +120,7 @@ def merge_df(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     if with_action:
         out.append(F.when(in_s & in_t, "update").when(in_s, "insert").otherwise("keep")
                    .alias(ACTION))
-    return j.select(*out)
+    return out
 
 
 @dataclass
@@ -112,19 +145,25 @@ class MergeResult:
 
 
 def upsert(table: SnapshotTable, source: DataFrame, update_cols: Sequence[str] | None = None,
-           check_duplicates: bool = True) -> MergeResult:
+           check_duplicates: bool = True, source_rows: int | None = None) -> MergeResult:
     """Merge ``source`` into the snapshot table and commit a new version."""
     key = list(table.spec.key)
     if check_duplicates:
-        check_unique_keys(source, key)
+        # one aggregate gives both the duplicate check and the key count for the strategy
+        stats = source.groupBy(*key).count().agg(
+            F.count(F.lit(1)).alias("keys"), F.max("count").alias("max_n")).first()
+        if stats["max_n"] is not None and stats["max_n"] > 1:
+            dup = duplicate_keys(source, key).limit(1).collect()[0]
+            raise DuplicateKeyError(f"source key {dict(dup.asDict())} occurs more than once")
+        source_rows = stats["keys"]
     with table.lock:
-        return _upsert_locked(table, source, key, update_cols)
+        return _upsert_locked(table, source, key, update_cols, source_rows)
 
 
 def _upsert_locked(table: SnapshotTable, source: DataFrame, key: list[str],
-                   update_cols: Sequence[str] | None) -> MergeResult:
+                   update_cols: Sequence[str] | None, source_rows: int | None) -> MergeResult:
     target = table.read()
-    merged = merge_df(target, source, key, update_cols=update_cols,
+    merged = merge_df(target, source, key, update_cols=update_cols, source_rows=source_rows,
                       inserted_at="dw_inserted_at" if "dw_inserted_at" in target.columns else None,
                       updated_at=_updated_col(target.columns))
     obs = Observation(f"merge_{table.spec.name}")

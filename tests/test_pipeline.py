@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardmart.operators import upsert as U
 from cardmart.plans.pipeline import Pipeline
 from cardmart.operators.quality import parity
+from cardmart.plans import models as M
 from cardmart.schemas import TABLES
 from cardmart.sources import driver_tables as DT
 from cardmart.sources.snapshot import SnapshotTable
@@ -21,11 +22,13 @@ def _tx(spark, rows):
                                        "dw_updated_at timestamp_ntz")
 
 
-def test_merge_df_updates_inserts_keeps(spark):
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "auto"])
+def test_merge_df_updates_inserts_keeps(spark, strategy):
     t0 = dt.datetime(2020, 1, 1)
     target = _tx(spark, [("a", 1, t0, t0), ("b", 2, t0, t0)])
     source = spark.createDataFrame([("b", 20), ("c", 30)], "k string, v int")
-    out = {r.k: r for r in U.merge_df(target, source, "k").collect()}
+    out = {r.k: r for r in U.merge_df(target, source, "k", strategy=strategy).collect()}
+    assert len(out) == 3
     assert out["a"].v == 1 and out["a"]._merge_action == "keep"
     assert out["a"].dw_updated_at == t0
     assert out["b"].v == 20 and out["b"]._merge_action == "update"
@@ -34,6 +37,19 @@ def test_merge_df_updates_inserts_keeps(spark):
     assert out["c"].dw_inserted_at == out["c"].dw_updated_at
 
 
+def test_merge_strategies_agree_on_real_tables(spark):
+    stg = M.stg_transactions(DT.raw_transactions(spark, SF_SMOKE))
+    src = (stg.filter(F.col("transaction_id").cast("long") % 3 == 0)
+           .withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)"))
+           .unionByName(stg.limit(0)))
+    target = stg.filter(F.col("transaction_id").cast("long") % 2 == 0)
+    a = U.merge_df(target, src, "transaction_id", inserted_at=None, updated_at=None,
+                   strategy="broadcast")
+    b = U.merge_df(target, src, "transaction_id", inserted_at=None, updated_at=None,
+                   strategy="shuffle")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
 def test_duplicate_source_key_raises(spark):
     src = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
     with pytest.raises(U.DuplicateKeyError):
