@@ -467,3 +467,35 @@ def x01(spark, sf_dir):
     m = DT.merchant_master(spark, sf_dir).select(F.lit("merchant").alias("kind"),
                                                  F.col("merchant_id").alias("id"))
     return reduce(DataFrame.unionByName, [c, m])
+
+
+# --- named models as views, SQL over them, temp tables (S09, S10, S12, L05) --------------------
+
+@query("s10_view_sql", with_views("""
+SELECT currency_code, CAST(count(*) AS BIGINT) AS settled, CAST(sum(net_amount) AS DECIMAL(22,4)) AS net
+FROM fact_payment_ledger GROUP BY 1 ORDER BY 2 DESC, 1""", "fact_payment_ledger"))
+def s10(spark, sf_dir):
+    """Models resolved by name and published as temp views, queried with ordinals."""
+    from cardmart.plans.registry import ledger_registry
+    reg = ledger_registry(spark, DT.raw_tables(spark, sf_dir))
+    reg.as_views(["fact_payment_ledger"])
+    return spark.sql("""
+        SELECT currency_code, count(*) AS settled, CAST(sum(net_amount) AS DECIMAL(22,4)) AS net
+        FROM fact_payment_ledger GROUP BY 1 ORDER BY 2 DESC, 1""")
+
+
+@query("s09_temp_table", with_views("""
+SELECT p.dispute_category, CAST(count(*) AS BIGINT) AS n, CAST(sum(t.n_tokens) AS BIGINT) AS tokens
+FROM dispute_memos p JOIN (
+  SELECT dispute_id, len(regexp_extract_all(memo_text, '[A-Za-z0-9]+|[^A-Za-z0-9 \t\n\r]')) AS n_tokens
+  FROM dispute_memos) t ON p.dispute_id = t.dispute_id
+GROUP BY 1""", "dispute_memos"))
+def s09(spark, sf_dir):
+    """A costly column computed once into a persisted temp table, then reused by SQL."""
+    from cardmart.functions.text import token_count
+    from cardmart.plans.registry import temp_table
+    d = DT.dispute_memos(spark, sf_dir)
+    temp_table(d.select("dispute_id", "dispute_category",
+                        token_count("memo_text").alias("n_tokens")), "memo_tokens")
+    return spark.sql("""SELECT dispute_category, count(*) AS n, CAST(sum(n_tokens) AS BIGINT) AS tokens
+                        FROM memo_tokens GROUP BY 1""")
