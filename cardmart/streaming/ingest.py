@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardmart.operators.latest import latest_per_key
-from cardmart.operators.upsert import upsert
+from cardmart.operators.upsert import BROADCAST_KEY_ROWS, upsert
 from cardmart.session import checkpoint_root
 from cardmart.sources.snapshot import SnapshotTable
 
@@ -55,15 +55,25 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, tar
 
 
 def merge_latest(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-                 rank: Sequence[Column]) -> DataFrame:
+                 rank: Sequence[Column], source_rows: int | None = None,
+                 broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
     """Keep, per key, the row with the larger ranking tuple of ``target`` and ``source``.
 
     ``rank`` is the total order of W01 written ascending-is-worse, e.g.
-    ``[ts_is_null, ts, id]``; the union of both sides is ranked once per key.
+    ``[ts_is_null, ts, id]``.  With few source keys (checked by count) the
+    stored rows are split by a broadcast of those keys: untouched rows pass
+    through without a shuffle and only the matched ones are re-ranked with
+    the batch.  Otherwise the union of both sides is ranked once per key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    both = target.unionByName(source, allowMissingColumns=False)
-    return latest_per_key(both, keys, [c.desc() for c in rank])
+    order = [c.desc() for c in rank]
+    n = source_rows if source_rows is not None else source.select(*keys).count()
+    if n > broadcast_rows:
+        return latest_per_key(target.unionByName(source), keys, order)
+    src_keys = F.broadcast(source.select(*keys))  # size checked above
+    kept = target.join(src_keys, keys, "left_anti")
+    matched = target.join(src_keys, keys, "left_semi")
+    return kept.unionByName(latest_per_key(matched.unionByName(source), keys, order))
 
 
 def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -71,25 +81,30 @@ def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType,
                     name: str, max_files_per_trigger: int | None = None) -> None:
     """ST2: fold each micro-batch's latest event per key into a stored table.
 
-    The stored table is rewritten per batch in a new folder named by the epoch
-    and read back through a one-line pointer table (no in-place overwrite of a
-    path being read).
+    Each epoch writes the new state to its own folder and then appends one
+    row (epoch, path) to an append-only commit log; readers take the largest
+    committed epoch.  A replayed epoch that is already committed is skipped,
+    so a batch is applied exactly once and no folder is overwritten while
+    being read.
     """
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
     rank = [F.col(ts).isNull(), F.col(ts), F.col(event_id)]
-    pointer = f"{state_path.rstrip('/')}/_current"
+    log = f"{state_path.rstrip('/')}/_commits"
 
     def fold(batch: DataFrame, epoch_id: int) -> None:
+        committed = _last_commit(spark, state_path)
+        if committed is not None and committed[0] >= epoch_id:
+            return  # replay of an applied batch
         latest = latest_per_key(batch, key, [c.desc() for c in rank])
-        cur = current_state(spark, state_path)
+        cur = None if committed is None else spark.read.parquet(committed[1])
         merged = latest if cur is None else merge_latest(cur, latest, key, rank)
         out = f"{state_path.rstrip('/')}/epoch={epoch_id}"
         merged.write.mode("overwrite").parquet(out)
-        spark.createDataFrame([(out,)], "path string").coalesce(1) \
-            .write.mode("overwrite").parquet(pointer)
+        spark.createDataFrame([(epoch_id, out)], "epoch long, path string").coalesce(1) \
+            .write.mode("append").parquet(log)
 
     q = (stream.writeStream.foreachBatch(fold)
          .option("checkpointLocation", _checkpoint(spark, name))
@@ -97,10 +112,17 @@ def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType,
     q.awaitTermination()
 
 
-def current_state(spark: SparkSession, state_path: str) -> DataFrame | None:
+def _last_commit(spark: SparkSession, state_path: str) -> tuple[int, str] | None:
     from pyspark.errors import AnalysisException
     try:
-        row = spark.read.parquet(f"{state_path.rstrip('/')}/_current").first()
+        row = (spark.read.parquet(f"{state_path.rstrip('/')}/_commits")
+               .orderBy(F.col("epoch").desc()).select("epoch", "path").first())
     except AnalysisException:
         return None
-    return None if row is None else spark.read.parquet(row[0])
+    return None if row is None else (int(row[0]), row[1])
+
+
+def current_state(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """The table as of the last committed epoch (None before the first batch)."""
+    c = _last_commit(spark, state_path)
+    return None if c is None else spark.read.parquet(c[1])
