@@ -145,10 +145,17 @@ class MergeResult:
 
 
 def upsert(table: SnapshotTable, source: DataFrame, update_cols: Sequence[str] | None = None,
-           check_duplicates: bool = True, source_rows: int | None = None) -> MergeResult:
-    """Merge ``source`` into the snapshot table and commit a new version."""
+           check_duplicates: bool = True, source_rows: int | None = None,
+           strategy: str = "auto") -> MergeResult:
+    """Merge ``source`` into the snapshot table and commit a new version.
+
+    ``check_duplicates=False`` is for sources unique by construction (a
+    ``row_number() = 1`` output, a join of unique keys to unique masters): it
+    saves a full evaluation of the source.  A full-table merge should pass
+    ``strategy="shuffle"`` so that the source is not counted first either.
+    """
     key = list(table.spec.key)
-    if check_duplicates:
+    if check_duplicates and source_rows is None:
         # one aggregate gives both the duplicate check and the key count for the strategy
         stats = source.groupBy(*key).count().agg(
             F.count(F.lit(1)).alias("keys"), F.max("count").alias("max_n")).first()
@@ -157,13 +164,15 @@ def upsert(table: SnapshotTable, source: DataFrame, update_cols: Sequence[str] |
             raise DuplicateKeyError(f"source key {dict(dup.asDict())} occurs more than once")
         source_rows = stats["keys"]
     with table.lock:
-        return _upsert_locked(table, source, key, update_cols, source_rows)
+        return _upsert_locked(table, source, key, update_cols, source_rows, strategy)
 
 
 def _upsert_locked(table: SnapshotTable, source: DataFrame, key: list[str],
-                   update_cols: Sequence[str] | None, source_rows: int | None) -> MergeResult:
+                   update_cols: Sequence[str] | None, source_rows: int | None,
+                   strategy: str) -> MergeResult:
     target = table.read()
     merged = merge_df(target, source, key, update_cols=update_cols, source_rows=source_rows,
+                      strategy=strategy,
                       inserted_at="dw_inserted_at" if "dw_inserted_at" in target.columns else None,
                       updated_at=_updated_col(target.columns))
     obs = Observation(f"merge_{table.spec.name}")
@@ -245,13 +254,21 @@ def load_incremental(raw: DataFrame, target: SnapshotTable, wm: SnapshotTable,
     """
     mark = read_watermark(wm, source_table)
     slice_df = delta(raw, mark, inclusive=inclusive)
-    # Fix the upper bound first (a scalar aggregate, answered from parquet
-    # statistics where possible), then merge exactly (mark, new_mark]: rows
-    # that land while the job runs are above the bound and wait for next time.
-    new_mark = slice_df.agg(F.max("_loaded_at")).first()[0]
+    key = list(target.spec.key)
+    # One aggregate over the slice fixes the upper bound, counts the keys (merge
+    # strategy) and finds duplicate keys (U16).  Then merge exactly (mark, new_mark]:
+    # rows that land while the job runs are above the bound and wait for next time.
+    stats = (slice_df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"),
+                                        F.max("_loaded_at").alias("m"))
+             .agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("max_n"),
+                  F.max("m").alias("new_mark")).first())
+    if stats["max_n"] is not None and stats["max_n"] > 1:
+        dup = duplicate_keys(slice_df, key).limit(1).collect()[0]
+        raise DuplicateKeyError(f"source key {dict(dup.asDict())} occurs more than once")
+    new_mark = stats["new_mark"]
     if new_mark is not None:
         slice_df = slice_df.filter(F.col("_loaded_at") <= F.lit(new_mark).cast("timestamp_ntz"))
-    res = upsert(target, transform(slice_df))
+    res = upsert(target, transform(slice_df), check_duplicates=False, source_rows=stats["keys"])
     advance_watermark(wm, source_table, new_mark)  # after the data commit: a crash in between re-merges (idempotent)
     res.watermark_before, res.watermark_after = mark, new_mark if new_mark is not None else mark
     return res

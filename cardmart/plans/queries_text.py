@@ -104,7 +104,21 @@ def t04_detect(spark, sf_dir):
     return h.select("doc_id", "lang", pred.alias("detected_lang"))
 
 
-@query("t04_translate")
+def _translate_sql() -> str:
+    gl = TX.GLOSSARY[("en", "es")]
+    mp = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in sorted(gl.items())) + "}"
+    hits = ", ".join(hits_sql('w', TX.STOPWORDS[l]) + ' AS h_' + l for l in TX.LANGS)
+    return f"""
+SELECT dispute_id, memo_text AS original,
+  CASE WHEN detected = 'en' THEN array_to_string(list_transform(string_split_regex(memo_text, '\\s+'),
+         lambda p: coalesce({mp}[lower(p)], p)), ' ') ELSE memo_text END AS translated_es
+FROM (SELECT dispute_id, memo_text, {_LANG_CASE} AS detected FROM (
+  SELECT *, greatest({', '.join('h_' + l for l in TX.LANGS)}) AS best FROM (
+    SELECT dispute_id, memo_text, {hits} FROM (
+      SELECT dispute_id, memo_text, {WORDS_SQL} AS w FROM dispute_memos))))"""
+
+
+@query("t04_translate", with_views(_translate_sql(), "dispute_memos"))
 def t04_translate(spark, sf_dir):
     d = DT.dispute_memos(spark, sf_dir)
     return d.select("dispute_id", F.col("memo_text").alias("original"),

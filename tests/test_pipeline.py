@@ -99,3 +99,29 @@ def test_pipeline_idempotent_and_parity(spark, scratch):
     assert p.run_history(minutes=60, limit=100).count() == 14
     counts = {r.tbl: r.rows for r in p.row_counts().collect()}
     assert counts["stg_transactions"] == n_tx
+
+
+def test_duplicate_key_in_delta_fails_the_load(spark, scratch):
+    raw = DT.raw_transactions(spark, SF_SMOKE).limit(5)
+    dup = raw.unionByName(raw.limit(1))
+    stg = SnapshotTable(spark, scratch, TABLES["stg_transactions"])
+    wm = SnapshotTable(spark, scratch, TABLES["etl_watermark"])
+    stg.create_if_absent()
+    U.seed_watermarks(wm, ["raw_transactions"])
+    with pytest.raises(U.DuplicateKeyError):
+        U.load_incremental(dup, stg, wm, "raw_transactions", M.stg_transactions)
+    # nothing merged, mark unchanged
+    assert stg.read().count() == 0
+    assert U.read_watermark(wm, "raw_transactions") == dt.datetime(1970, 1, 1)
+
+
+def test_empty_delta_leaves_mark_unchanged(spark, scratch):
+    raw = DT.raw_transactions(spark, SF_SMOKE)
+    stg = SnapshotTable(spark, scratch, TABLES["stg_transactions"])
+    wm = SnapshotTable(spark, scratch, TABLES["etl_watermark"])
+    stg.create_if_absent()
+    U.seed_watermarks(wm, ["raw_transactions"])
+    first = U.load_incremental(raw, stg, wm, "raw_transactions", M.stg_transactions)
+    again = U.load_incremental(raw, stg, wm, "raw_transactions", M.stg_transactions)
+    assert first.inserted == raw.count() and again.merged == 0
+    assert again.watermark_after == first.watermark_after
