@@ -34,19 +34,28 @@ def existence_flag(df: DataFrame, other: DataFrame, key: str | Sequence[str],
             .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
 
 
+def _distinct_keys(other: DataFrame, ks: list[str]) -> DataFrame:
+    """The lookup side reduced to its distinct keys (partial aggregate map-side): a key
+    that holds a third of ``other`` becomes one row before the join.  (AQE's skew
+    handling splits only the streamed side of a semi / anti join.)"""
+    return other.select(*ks).distinct()
+
+
 def semi(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` with a match in ``other`` (J10, positive EXISTS)."""
-    return df.join(other.select(*_keys(key)), _keys(key), "left_semi")
+    ks = _keys(key)
+    return df.join(_distinct_keys(other, ks), ks, "left_semi")
 
 
 def anti(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` without a match in ``other`` (J08, NOT EXISTS)."""
-    return df.join(other.select(*_keys(key)), _keys(key), "left_anti")
+    ks = _keys(key)
+    return df.join(_distinct_keys(other, ks), ks, "left_anti")
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (J09, dbt ``relationships``)."""
-    p = parent.select(F.col(pk).alias(fk))
+    p = parent.select(F.col(pk).alias(fk)).distinct()
     return child.filter(F.col(fk).isNotNull()).join(p, fk, "left_anti")
 
 
