@@ -31,15 +31,21 @@ def _string_schema(schema: T.StructType, corrupt: bool = False) -> T.StructType:
 
 
 def read_strings(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                 mode: str = "FAILFAST", check_header: bool = True) -> DataFrame:
-    """Every column as a string, NULL tokens already mapped to NULL."""
+                 mode: str = "FAILFAST", check_header: bool = True,
+                 multi_line: bool = False) -> DataFrame:
+    """Every column as a string, NULL tokens already mapped to NULL.
+
+    ``multi_line`` allows line breaks inside quoted fields, at the price of
+    one task per file (the file cannot be split).  Off by default: a quoted
+    line break then yields a malformed row, which FAILFAST rejects loudly.
+    """
     corrupt = mode == "PERMISSIVE"
     reader = (spark.read.schema(_string_schema(schema, corrupt))
               .option("header", True)
               .option("enforceSchema", not check_header)  # False: header must match names
               .option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-              .option("multiLine", True)
+              .option("multiLine", multi_line)
               .option("mode", mode))
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
@@ -60,20 +66,20 @@ def typed(df: DataFrame, schema: T.StructType, safe: bool = False) -> DataFrame:
 
 
 def load_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, multi_line: bool = False) -> DataFrame:
     """Typed positional load that aborts on the first bad row (FAILFAST + ANSI casts).
 
     Gzip files are read natively but are not splittable (one task per file):
     pass ``partitions`` to spread the rows before downstream work.
     """
-    df = typed(read_strings(spark, path, schema, "FAILFAST"), schema)
+    df = typed(read_strings(spark, path, schema, "FAILFAST", multi_line=multi_line), schema)
     return df.repartition(partitions) if partitions else df
 
 
 def land(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, out_path: str,
-         partitions: int | None = None) -> int:
+         partitions: int | None = None, multi_line: bool = False) -> int:
     """Load and append to the raw parquet table; returns rows landed."""
-    df = load_csv(spark, path, schema, partitions)
+    df = load_csv(spark, path, schema, partitions, multi_line)
     from pyspark.sql import Observation
     obs = Observation("landed")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(out_path)
@@ -81,14 +87,14 @@ def land(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, o
 
 
 def validation_report(spark: SparkSession, path: str | Sequence[str],
-                      schema: T.StructType) -> DataFrame:
+                      schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Rejected rows without loading anything -- (file, column, value, reason).
 
     Malformed lines (wrong field count, broken quoting) come from the reader's
     corrupt-record column; values that do not convert to the column's type
     are found with ``try_cast`` (non-NULL in, NULL out).
     """
-    s = read_strings(spark, path, schema, "PERMISSIVE")
+    s = read_strings(spark, path, schema, "PERMISSIVE", multi_line=multi_line)
     # the corrupt-record column may not be read alone: reference the parsed fields too
     raw_line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.col(f.name) for f in schema.fields]))
     malformed = s.filter(F.col(CORRUPT).isNotNull()).select(

@@ -47,6 +47,16 @@ def test_load_handles_quotes_nulls_padding_and_gzip(spark, scratch):
     assert rows["T2"].transaction_timestamp.microsecond == 123456
 
 
+def test_quoted_line_break_needs_multi_line(spark, scratch):
+    lines = [HEADER, 'T1,C1,M1,"PUR\nCHASE",1.00,USD,2024-01-01 10:00:00,APPROVED,5411,CHIP,TRUE,'
+             '2024-01-02 02:00:00']
+    _write(f"{scratch}/ml/a.csv", lines)
+    with pytest.raises(Exception):
+        L.load_csv(spark, f"{scratch}/ml", RAW_TRANSACTIONS).collect()
+    row = L.load_csv(spark, f"{scratch}/ml", RAW_TRANSACTIONS, multi_line=True).first()
+    assert row.transaction_type == "PUR\nCHASE"
+
+
 def test_bad_date_aborts_load_and_is_reported(spark, scratch):
     bad = GOOD[:2] + ['T9,C1,M1,PURCHASE,1.00,USD,not-a-date,APPROVED,5411,CHIP,TRUE,'
                       '2024-01-02 02:00:00']
