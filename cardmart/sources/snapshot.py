@@ -2,17 +2,19 @@
 
 A managed table lives under ``<root>/<name>/``:
 
-* ``data/_version=N/`` -- the complete table as of version N (parquet);
-* ``_commits/``         -- an append-only parquet log with one row per version.
-
-A write appends version N+1 under ``data/`` and only *then* appends its row
-to the commit log, so a reader (who takes the largest committed version and
-reads it with a partition filter, i.e. partition pruning) never sees a
-half-written version; a writer that dies before the log append leaves an
-orphan directory that nobody reads and the next write simply supersedes.
-Older versions stay readable.  Everything is plain ``spark.read`` /
-``df.write`` -- no filesystem client, so ``root`` can be any Hadoop URI the
-cluster shares.
+* ``slot=a/``, ``slot=b/`` -- two physical copies: the current version and the
+  previous one;
+* ``_commits/``            -- an append-only parquet log, one row per version
+  (version, slot, time, rows).
+
+A write goes to the slot that is NOT current (``overwrite`` of that folder,
+which no reader of the current version touches), and only *then* appends its
+row to the commit log.  A reader takes the largest committed version, so it
+never sees a half-written one; a writer that dies before the log append
+leaves a slot that nobody reads and the next write overwrites.  Storage stays
+at two copies however many runs there are.  Everything is plain
+``spark.read`` / ``df.write`` -- no filesystem client -- so ``root`` can be
+any Hadoop URI the cluster shares.
 """
 
 from __future__ import annotations
@@ -27,9 +29,9 @@ from pyspark.sql import types as T
 
 from cardmart.schemas import TableSpec
 
-VERSION_COL = "_version"
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
+    T.StructField("slot", T.StringType(), False),
     T.StructField("committed_at", T.TimestampNTZType(), True),
     T.StructField("rows", T.LongType(), True),
 ])
@@ -44,7 +46,6 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark, self.spec = spark, spec
         self.path = f"{root.rstrip('/')}/{spec.name}"
-        self.data_path = f"{self.path}/data"
         self.log_path = f"{self.path}/_commits"
 
     @property
@@ -53,12 +54,18 @@ class SnapshotTable:
         return _LOCKS[self.path]
 
     # --- reading ---------------------------------------------------------------------------
-    def current_version(self) -> int | None:
+    def _commits(self) -> list[tuple[int, str]]:
+        """The last two commits (version, slot), newest first."""
         try:
-            row = self.spark.read.parquet(self.log_path).agg(F.max("version")).first()
+            rows = (self.spark.read.parquet(self.log_path).orderBy(F.col("version").desc())
+                    .select("version", "slot").limit(2).collect())
         except AnalysisException:
-            return None
-        return None if row is None or row[0] is None else int(row[0])
+            return []
+        return [(int(r[0]), r[1]) for r in rows]
+
+    def current_version(self) -> int | None:
+        c = self._commits()
+        return c[0][0] if c else None
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -67,19 +74,16 @@ class SnapshotTable:
         return self.spark.createDataFrame([], self.spec.schema)
 
     def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
+        """The current version, or the previous one (older versions are overwritten)."""
+        commits = self._commits()
+        if not commits:
             return self.empty()
-        cols = [f.name for f in self.spec.schema.fields]
-        try:
-            df = self.spark.read.schema(self._data_schema()).parquet(self.data_path)
-        except AnalysisException:
-            return self.empty()
-        return df.filter(F.col(VERSION_COL) == F.lit(v)).select(*cols)
-
-    def _data_schema(self) -> T.StructType:
-        return T.StructType(list(self.spec.schema.fields)
-                            + [T.StructField(VERSION_COL, T.LongType(), True)])
+        slots = dict(commits)
+        v = commits[0][0] if version is None else version
+        if v not in slots:
+            raise ValueError(f"{self.spec.name}: version {v} is no longer kept "
+                             f"(kept: {sorted(slots)})")
+        return self.spark.read.schema(self.spec.schema).parquet(f"{self.path}/slot={slots[v]}")
 
     # --- writing ---------------------------------------------------------------------------
     def write(self, df: DataFrame, rows: int | None = None) -> int:
@@ -88,13 +92,13 @@ class SnapshotTable:
             return self._write(df, rows)
 
     def _write(self, df: DataFrame, rows: int | None) -> int:
-        v = (self.current_version() or 0) + 1
-        cols = [f.name for f in self.spec.schema.fields]
+        commits = self._commits()
+        v = commits[0][0] + 1 if commits else 1
+        slot = "b" if commits and commits[0][1] == "a" else "a"
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                           for f in self.spec.schema.fields])
-        (out.select(*cols, F.lit(v).cast("long").alias(VERSION_COL))
-            .write.mode("append").partitionBy(VERSION_COL).parquet(self.data_path))
-        log = self.spark.createDataFrame([(v, None, rows)], _LOG_SCHEMA).withColumn(
+        out.write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
+        log = self.spark.createDataFrame([(v, slot, None, rows)], _LOG_SCHEMA).withColumn(
             "committed_at", F.current_timestamp().cast("timestamp_ntz"))
         log.coalesce(1).write.mode("append").parquet(self.log_path)
         return v
