@@ -81,11 +81,12 @@ def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType,
                     name: str, max_files_per_trigger: int | None = None) -> None:
     """ST2: fold each micro-batch's latest event per key into a stored table.
 
-    Each epoch writes the new state to its own folder and then appends one
-    row (epoch, path) to an append-only commit log; readers take the largest
-    committed epoch.  A replayed epoch that is already committed is skipped,
-    so a batch is applied exactly once and no folder is overwritten while
-    being read.
+    Each epoch writes the new state into the one of two slot folders that is
+    not current, then appends one row (epoch, path) to an append-only commit
+    log; readers take the largest committed epoch.  A replayed epoch that is
+    already committed is skipped, so a batch is applied exactly once, the
+    folder being read is never the one overwritten, and storage stays at two
+    copies of the state.
     """
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
@@ -101,7 +102,8 @@ def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType,
         latest = latest_per_key(batch, key, [c.desc() for c in rank])
         cur = None if committed is None else spark.read.parquet(committed[1])
         merged = latest if cur is None else merge_latest(cur, latest, key, rank)
-        out = f"{state_path.rstrip('/')}/epoch={epoch_id}"
+        slot = "b" if committed is not None and committed[1].endswith("slot=a") else "a"
+        out = f"{state_path.rstrip('/')}/slot={slot}"
         merged.write.mode("overwrite").parquet(out)
         spark.createDataFrame([(epoch_id, out)], "epoch long, path string").coalesce(1) \
             .write.mode("append").parquet(log)
