@@ -54,7 +54,7 @@ def anti(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent (J09, dbt ``relationships``)."""
+    """Child rows whose non-NULL foreign key has no parent (J09, the ``relationships`` data test)."""
     p = parent.select(F.col(pk).alias(fk)).distinct()
     return child.filter(F.col(fk).isNotNull()).join(p, fk, "left_anti")
 

@@ -138,7 +138,7 @@ def fact_payment_ledger(enriched: DataFrame, stg_gw: DataFrame, disputes: DataFr
 
 
 def build_all(raw: dict[str, DataFrame], with_load_time: bool = False) -> dict[str, DataFrame]:
-    """Every model, rebuilt from the raw tables (full-refresh / dbt flavour)."""
+    """Every model, rebuilt from the raw tables (full-refresh / declarative-model flavour)."""
     stg_tx = stg_transactions(raw["raw_transactions"])
     stg_gw = stg_gateway_log(raw["raw_gateway_log"])
     enriched = int_transactions_enriched(stg_tx, raw["raw_card_master"],
