@@ -437,3 +437,20 @@ def t15(spark, sf_dir):
     out = ai_map(d, keyword_triage_json, "memo_text", TX.TRIAGE_SCHEMA, max_input_tokens=1_000_000_000)
     return out.select("dispute_id", "ai_result.ok", "ai_result.error",
                       "ai_result.value.severity", "ai_result.value.refund_recommended")
+
+
+# --- chat prompts over conversations (P20 with role filters) -------------------------------------
+
+@query("p20_chat_prompt", """
+SELECT conv_id, CAST(count(*) AS BIGINT) AS user_turns,
+  string_agg('[' || CAST(turn AS VARCHAR) || '] ' || text, chr(10) ORDER BY turn) AS prompt
+FROM conversations WHERE role = 'user' GROUP BY conv_id""")
+def p20_chat(spark, sf_dir):
+    """One prompt per conversation from its user turns, in turn order.  A conversation is
+    a bounded group (its turns); turns are ordered inside the group, not globally."""
+    c = DT.read(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    line = F.concat(F.lit("["), F.col("turn").cast("string"), F.lit("] "), F.col("text"))
+    return c.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("user_turns"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))),
+                                 lambda x: x["l"]), "\n").alias("prompt"))
