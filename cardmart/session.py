@@ -10,7 +10,9 @@ correctness (UTC session clock).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -65,9 +67,31 @@ def get_spark(master: str | None = None, app_name: str = "cardmart",
     for k, v in _CORRECTNESS_CONF.items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cardmart`` importable on every Python worker (``addPyFile``, once per context).
+
+    Python functions that Spark runs on executors (Arrow UDFs, ``mapInPandas``)
+    may refer to functions of this package by module name; shipping the package
+    as a zip is what ``spark-submit --py-files`` does, done at runtime.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="cardmart-pyfiles-")) / "cardmart"
+    archive = shutil.make_archive(str(out), "zip", root_dir=pkg.parent, base_dir=pkg.name)
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
