@@ -454,3 +454,20 @@ def p20_chat(spark, sf_dir):
         F.count(F.lit(1)).alias("user_turns"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))),
                                  lambda x: x["l"]), "\n").alias("prompt"))
+
+
+@query("t08_mllib_toxic")
+def t08_mllib(spark, sf_dir):
+    """T07 (c) + T08: an MLlib text pipeline trained on the labelled documents (70% split by
+    id hash) and evaluated on the rest, next to the lexicon rule on the same rows."""
+    from cardmart.operators.classify_ml import predict_text, split_by_hash, train_text_classifier
+    d = DT.read(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = DT.read(spark, sf_dir, "labels").join(d, "doc_id")
+    train, test = split_by_hash(lab, "doc_id")
+    model = train_text_classifier(train, "text", "toxic")
+    ml = predict_text(model, test, ["doc_id", "toxic"]).select(
+        F.lit("mllib_logreg").alias("task"), F.col("toxic").alias("actual"), "predicted")
+    rule = (hit_counts(test, ["doc_id"], "text", {"tox": TOXIC_TERMS}, carry=["toxic"])
+            .select(F.lit("lexicon_rule").alias("task"), F.col("toxic").alias("actual"),
+                    F.when(F.col("tox") > 0, 1).otherwise(0).alias("predicted")))
+    return accuracy(ml.unionByName(rule), "actual", "predicted", group_by=["task"])

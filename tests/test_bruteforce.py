@@ -129,3 +129,23 @@ def test_similarity_search_matches_brute_force(spark):
     load_all()
     got = [r.dispute_id for r in QUERIES["v03_similarity"](spark, SF_SMOKE).collect()]
     assert got == want
+
+
+def test_nearest_centroid_matches_numpy(spark):
+    from cardmart.operators.classify_ml import centroids, nearest_centroid
+    e = DT.read(spark, SF_SMOKE, "embeddings")
+    rows = e.collect()
+    cents = centroids(e, "label", "embedding")
+    by = defaultdict(list)
+    for r in rows:
+        by[r.label].append(np.array(r.embedding, dtype=np.float64))
+    for lab, vs in by.items():
+        assert np.allclose(np.mean(vs, axis=0), cents[lab], atol=1e-9)
+    labels = sorted(cents)
+    cm = np.array([cents[lab] for lab in labels])
+    got = {r.vec_id: r.p for r in e.select(
+        "vec_id", nearest_centroid("embedding", cents).alias("p")).collect()}
+    for r in rows:
+        x = np.array(r.embedding, dtype=np.float64)
+        sims = cm @ x / (np.linalg.norm(cm, axis=1) * np.linalg.norm(x))
+        assert got[r.vec_id] == labels[int(np.argmax(sims))]
