@@ -7,6 +7,7 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardmart.schemas import RAW_SCHEMAS, RAW_TRANSACTIONS
 from cardmart.sources import csv_landing as L
@@ -114,3 +115,37 @@ def test_generated_files_round_trip_through_pipeline(spark, scratch):
     results = {r.step: r for r in Pipeline(spark, f"{scratch}/wh", raw).run()}
     assert all(r.state == "SUCCEEDED" for r in results.values()), results
     assert results["fact_payment_ledger"].rows_merged > 0
+
+
+def test_generator_distributions_and_fk_integrity(spark):
+    from cardmart.operators.joins import orphans
+    p = G.GenParams(rows=20000, merchants=60, cards=800, disputes=200)
+    t = G.generate(spark, p)
+    tx = t["raw_transactions"]
+    stats = tx.groupBy().agg(
+        *[(F.avg((F.col("transaction_type") == k).cast("double"))).alias(k)
+          for k in ("PURCHASE", "REFUND", "REVERSAL", "TRANSFER")],
+        F.avg((F.col("auth_status") == "APPROVED").cast("double")).alias("approved"),
+        F.avg((F.col("amount") >= 500).cast("double")).alias("large")).first()
+    assert abs(stats.PURCHASE - 0.80) < 0.015 and abs(stats.REFUND - 0.08) < 0.01
+    assert abs(stats.REVERSAL - 0.07) < 0.01 and abs(stats.TRANSFER - 0.05) < 0.01
+    assert abs(stats.approved - 0.88) < 0.015 and abs(stats.large - 0.08) < 0.015
+    declined = tx.filter("auth_status = 'DECLINED'").count()
+    retries = t["raw_gateway_log"].count() - 20000
+    assert abs(retries / declined - 0.15) < 0.03
+    assert orphans(tx, "card_id", t["raw_card_master"], "card_id").count() == 0
+    assert orphans(tx, "merchant_id", t["raw_merchant_master"], "merchant_id").count() == 0
+    d = t["dispute_memos"]
+    eligible = tx.filter("auth_status = 'APPROVED' AND transaction_type = 'PURCHASE'")
+    assert orphans(d, "transaction_id", eligible, "transaction_id").count() == 0
+    assert d.select("transaction_id").distinct().count() == 200
+
+
+def test_csv_round_trip_is_exact(spark, scratch):
+    p = G.GenParams(rows=1000, merchants=10, cards=50, disputes=20)
+    tables = G.generate(spark, p)
+    G.write_landing_files(tables, f"{scratch}/rt")
+    for name, schema in RAW_SCHEMAS.items():
+        back = L.load_csv(spark, f"{scratch}/rt/{name}", schema)
+        orig = tables[name].select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0, name
