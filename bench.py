@@ -40,6 +40,7 @@ def main() -> None:
 
     from cardmart.plans.catalog import QUERIES, load_all
     load_all()
+    from cardmart.functions.text import token_count
     from cardmart.operators.upsert import merge_df
     from cardmart.plans import models as M
     from cardmart.sources import driver_tables as DT
@@ -68,9 +69,7 @@ def main() -> None:
         "u01_upsert_empty": upsert_delta(0.0),
         "q04_suite": q("q04_suite"),
         "t06_tokens_documents": lambda: noop(
-            DT.read(spark, sf_dir, "documents").select(
-                "doc_id", __import__("cardmart.functions.text", fromlist=["x"])
-                .token_count("text").alias("n"))),
+            DT.read(spark, sf_dir, "documents").select("doc_id", token_count("text").alias("n"))),
         "t07_classify_documents": q("t07_classify_described"),
         "t08_eval": q("t08_eval"),
         "v04_topk": q("v04_topk"),
