@@ -22,7 +22,12 @@ from pyspark.sql import functions as F
 
 from cardmart.functions.text import STOPWORDS, words
 
-SENTENCE_SPLIT = r"(?<=[.!?])\s+"
+# A sentence ends at a run of blanks that follows '.', '!' or '?' (explicit blank class:
+# '\s' is not the same set in every regex engine).
+SENTENCE_SPLIT = r"(?<=[.!?])[ \t\n\x0B\f\r]+"
+# Scores are rounded before ranking so that mathematically equal averages tie exactly
+# (whatever the summation order of the shuffle) and fall to the positional tie-break.
+SCORE_DIGITS = 9
 # Words ignored when naming a group's recurring terms: function words of the four
 # languages plus anything shorter than three letters.
 _TERM_STOP = sorted({w for ws in STOPWORDS.values() for w in ws})
@@ -47,7 +52,7 @@ def sentence_scores(sent: DataFrame, keys: list[str], idf: DataFrame) -> DataFra
     """Mean IDF of each sentence's words (sentences without words score 0)."""
     w = sent.select(*keys, F.explode(words("sentence")).alias("word"))
     scored = (w.join(idf, "word", "inner").groupBy(*keys)
-              .agg(F.avg("idf").alias("score")))
+              .agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score")))
     return sent.join(scored, keys, "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 

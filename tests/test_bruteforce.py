@@ -36,7 +36,7 @@ def _sentences(text):
 
 def _score(sentence, idf):
     ws = WORD.findall(sentence.lower())
-    return sum(idf[w] for w in ws) / len(ws) if ws else 0.0
+    return round(sum(idf[w] for w in ws) / len(ws), 9) if ws else 0.0
 
 
 def test_summary_matches_brute_force(spark):
