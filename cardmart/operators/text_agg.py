@@ -84,15 +84,18 @@ def summarize_groups(df: DataFrame, group_col: str, id_col: str, text_col: str,
 
 
 def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: str,
-                  min_rows: int = 3, top: int = 10, n_terms: int = 3) -> DataFrame:
-    """One insight string per group: size, most common category, recurring terms and a
-    representative text (highest mean IDF); groups with at least ``min_rows`` rows, the
-    ``top`` largest."""
-    base = df.select(group_col, text_col, category_col,
-                     F.xxhash64(group_col, text_col).alias("_id"))
-    counts = base.groupBy(group_col).agg(F.count(F.lit(1)).alias("dispute_count"),
-                                         F.mode(category_col).alias("top_category"))
+                  id_col: str, min_rows: int = 3, top: int = 10, n_terms: int = 3) -> DataFrame:
+    """One insight string per group: size, most common category (ties -> first by
+    name), recurring terms (count desc, word asc) and a representative text (highest
+    mean IDF, ties -> larger id); groups with at least ``min_rows`` rows, the ``top``
+    largest (count desc, group asc)."""
+    base = df.select(group_col, text_col, category_col, id_col)
+    counts = base.groupBy(group_col).agg(F.count(F.lit(1)).alias("dispute_count"))
     counts = counts.filter(F.col("dispute_count") >= min_rows)
+    per_cat = base.groupBy(group_col, category_col).agg(F.count(F.lit(1)).alias("_n"))
+    top_cat = per_cat.groupBy(group_col).agg(
+        F.min_by(category_col, F.struct((-F.col("_n")).alias("_neg"), F.col(category_col)))
+        .alias("top_category"))
     terms = (base.select(group_col, F.explode(words(text_col)).alias("word"))
              .filter((F.length("word") >= 3) & ~F.col("word").isin(*_TERM_STOP))
              .groupBy(group_col, "word").agg(F.count(F.lit(1)).alias("tf")))
@@ -104,15 +107,16 @@ def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: st
     # representative text: score every text by the mean IDF of its words, carrying only
     # (id, group, word) through the shuffle; the text itself is joined back for the
     # single winner of each group.
-    idf = idf_table(base, "_id", text_col)
-    doc_score = (base.select("_id", group_col, F.explode(words(text_col)).alias("word"))
-                 .join(idf, "word").groupBy("_id", group_col)
-                 .agg(F.avg("idf").alias("score")))
+    idf = idf_table(base, id_col, text_col)
+    doc_score = (base.select(id_col, group_col, F.explode(words(text_col)).alias("word"))
+                 .join(idf, "word").groupBy(id_col, group_col)
+                 .agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score")))
     best = doc_score.groupBy(group_col).agg(
-        F.max_by("_id", F.struct("score", F.col("_id"))).alias("_id"))
-    rep = best.join(base.select("_id", group_col, F.col(text_col).alias("rep")),
-                    ["_id", group_col]).select(group_col, "rep")
-    out = counts.join(top_terms, group_col, "left").join(rep, group_col, "left")
+        F.max_by(id_col, F.struct("score", F.col(id_col))).alias(id_col))
+    rep = best.join(base.select(id_col, group_col, F.col(text_col).alias("rep")),
+                    [id_col, group_col]).select(group_col, "rep")
+    out = (counts.join(top_cat, group_col, "left").join(top_terms, group_col, "left")
+           .join(rep, group_col, "left"))
     insight = F.format_string(
         "%d disputes; most common problem: %s; recurring terms: %s. Representative memo: %s",
         F.col("dispute_count"), F.col("top_category"), F.coalesce("terms", F.lit("-")),

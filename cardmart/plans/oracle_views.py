@@ -172,4 +172,7 @@ def with_views(sql: str, *names: str) -> str:
     for n in names:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]}\n)" for n in order)
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":  # the query's own CTEs follow ours
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"

@@ -499,3 +499,31 @@ def s09(spark, sf_dir):
                         token_count("memo_text").alias("n_tokens")), "memo_tokens")
     return spark.sql("""SELECT dispute_category, count(*) AS n, CAST(sum(n_tokens) AS BIGINT) AS tokens
                         FROM memo_tokens GROUP BY 1""")
+
+
+# --- watermark delta over events with late arrivals (U08, trap #8) ------------------------------
+
+EVENTS_MARK = dt.datetime(2024, 1, 15, 2, 30, 0)
+
+
+def _events_loaded(spark, sf_dir):
+    """Events with a load time: the next day's 02:00 batch, or one or two days later for
+    a third of them each (an md5 hash of the id picks the delay)."""
+    e = DT.read(spark, sf_dir, "events")
+    delay = F.pmod(F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10)
+                   .cast("long"), F.lit(3))
+    loaded = F.timestamp_add("HOUR", (delay + 1) * 24 + 2, F.date_trunc("DAY", "ts"))
+    return e.select("event_id", "ts", loaded.alias("_loaded_at"))
+
+
+@query("u08_events_late", """
+SELECT event_id, ts, _loaded_at, ts <= TIMESTAMP '2024-01-15 02:30:00' AS late_event FROM (
+  SELECT event_id, ts, date_trunc('day', ts) + to_hours(
+    (CAST(concat('0x', substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 3 + 1) * 24 + 2)
+    AS _loaded_at FROM events)
+WHERE _loaded_at > TIMESTAMP '2024-01-15 02:30:00'""")
+def u08_events(spark, sf_dir):
+    """Rows after the load-time mark; events older than the mark that landed late are
+    still picked up, because the rule keys on load time, not event time."""
+    d = delta(_events_loaded(spark, sf_dir), EVENTS_MARK)
+    return d.withColumn("late_event", F.col("ts") <= F.lit(EVENTS_MARK).cast("timestamp_ntz"))
