@@ -125,3 +125,15 @@ def test_empty_delta_leaves_mark_unchanged(spark, scratch):
     again = U.load_incremental(raw, stg, wm, "raw_transactions", M.stg_transactions)
     assert first.inserted == raw.count() and again.merged == 0
     assert again.watermark_after == first.watermark_after
+
+
+def test_small_delta_merge_does_not_shuffle_the_target(spark):
+    stg = M.stg_transactions(DT.raw_transactions(spark, SF_SMOKE))
+    src = stg.limit(10).withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)"))
+    merged = U.merge_df(stg, src, "transaction_id", inserted_at=None, updated_at=None)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    assert "FullOuter" not in plan
+    big = U.merge_df(stg, src, "transaction_id", inserted_at=None, updated_at=None,
+                     broadcast_rows=5)
+    assert "FullOuter" in big._jdf.queryExecution().executedPlan().toString()
