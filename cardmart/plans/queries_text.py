@@ -414,11 +414,14 @@ def t10(spark, sf_dir):
 
 
 @query("t13_max_tokens", with_views(f"""
-SELECT dispute_id, array_to_string(list_slice(regexp_extract_all(memo_text, '{TOKEN_RE}'), 1, 60), ' ')
-  AS tight_summary FROM dispute_memos""", "dispute_memos"))
+SELECT dispute_id, array_to_string(list_slice(regexp_extract_all(summary, '{TOKEN_RE}'), 1, 60), ' ')
+  AS tight_summary FROM ({_summary_sql(1)})""", "dispute_memos"))
 def t13(spark, sf_dir):
+    """Generation parameters: a deterministic one-sentence summary of the whole memo
+    (temperature 0), its output capped at ``max_tokens`` = 60 tokens."""
     d = DT.dispute_memos(spark, sf_dir)
-    return d.select("dispute_id", TX.truncate_tokens("memo_text", 60).alias("tight_summary"))
+    s = TA.summarize(d, "dispute_id", "memo_text", n_sentences=1)
+    return s.select("dispute_id", TX.truncate_tokens("summary", 60).alias("tight_summary"))
 
 
 def _triage_sql() -> str:
