@@ -32,8 +32,10 @@ def main() -> None:
 
     from pyspark.sql import functions as F
 
-    from cardmart.session import get_spark
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    from cardmart.session import get_spark, shuffle_partitions_for
+    input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir))
+    spark = get_spark(f"local[{cpus}]",
+                      shuffle_partitions=shuffle_partitions_for(input_bytes, cores=int(cpus)),
                       extra_conf={"spark.driver.memory": "16g",
                                   "spark.checkpoint.dir": f"{scratch}/ckpt",
                                   "spark.local.dir": f"{scratch}/local"})

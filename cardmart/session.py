@@ -43,6 +43,22 @@ _BUILD_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 * 1024,
+                           cores: int | None = None) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``.
+
+    Roughly one partition per ``target_bytes`` of shuffled data (so a task's
+    partition fits in executor memory and spills little), at least two waves
+    of the cluster's cores.  AQE then coalesces small partitions at runtime
+    (``spark.sql.adaptive.coalescePartitions``) and splits skewed ones, so
+    this is an upper bound, not a fixed plan: at 100 TB with 1,000 executors x
+    8 cores it gives ~800k partitions, which AQE reduces to what the actual
+    shuffle sizes need.
+    """
+    by_size = max(1, -(-input_bytes // target_bytes))
+    return max(by_size, 2 * (cores or 1))
+
+
 def get_spark(master: str | None = None, app_name: str = "cardmart",
               shuffle_partitions: int | None = None,
               extra_conf: dict[str, str] | None = None) -> SparkSession:
