@@ -64,7 +64,19 @@ def train_text_classifier(train: DataFrame, text_col: str, label_col: str,
         LogisticRegression(featuresCol="_features", labelCol=label_col, predictionCol="_pred",
                            regParam=reg, maxIter=iters),
     ]
-    return Pipeline(stages=stages).fit(train.select(text_col, F.col(label_col).cast("double")))
+    fitted = Pipeline(stages=stages).fit(train.select(text_col, F.col(label_col).cast("double")))
+    # Persist the fitted pipeline to the shared checkpoint folder and load it back: the
+    # loaded model is what a scoring job would use, and it carries no training summary
+    # (which references the SparkSession and would otherwise be captured by the
+    # prediction UDF -- not serializable once the session has used an Observation).
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from cardmart.session import checkpoint_root
+    path = f"{checkpoint_root(train.sparkSession).rstrip('/')}/models/{uuid.uuid4().hex}"
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def predict_text(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -145,3 +145,17 @@ def test_driver_contract(spark):
     assert df.count() > 0 and "transaction_id" in df.columns
     qs, oracle = E.queries(), E.oracle_sql()
     assert set(oracle) <= set(qs) and len(oracle) >= 70
+
+
+def test_mllib_classifier_after_an_observation(spark):
+    """A session that has used an Observation cannot serialize a model that still holds
+    its training summary; the classifier is saved and reloaded, so scoring works."""
+    from pyspark.sql import Observation
+
+    from cardmart.plans.catalog import QUERIES, load_all
+    load_all()
+    obs = Observation("warm")
+    spark.range(3).observe(obs, F.count(F.lit(1)).alias("n")).collect()
+    rows = {r.task: r for r in QUERIES["t08_mllib_toxic"](spark, SF_ORACLE).collect()}
+    assert set(rows) == {"mllib_logreg", "lexicon_rule"}
+    assert rows["mllib_logreg"].n == rows["lexicon_rule"].n > 0
