@@ -37,6 +37,9 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]",
                       shuffle_partitions=shuffle_partitions_for(input_bytes, cores=int(cpus)),
                       extra_conf={"spark.driver.memory": "16g",
+                                  # release broadcasts / shuffle files of finished workloads
+                                  # (the default periodic driver GC is every 30 minutes)
+                                  "spark.cleaner.periodicGC.interval": "30s",
                                   "spark.checkpoint.dir": f"{scratch}/ckpt",
                                   "spark.local.dir": f"{scratch}/local"})
 

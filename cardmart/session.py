@@ -40,6 +40,9 @@ _BUILD_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.shuffle.partitions": "8",
+    # A long-running driver (pipeline runs, streams, benches) should release the
+    # broadcasts and shuffle files of finished jobs well before the 30 min default.
+    "spark.cleaner.periodicGC.interval": "60s",
 }
 
 
