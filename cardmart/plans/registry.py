@@ -70,7 +70,11 @@ def ledger_registry(spark: SparkSession, raw: Mapping[str, DataFrame]) -> Regist
 def temp_table(df: DataFrame, name: str,
                level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Persist once and register as a temp view; later statements reuse it.
-    (Persisted blocks lost with an executor are recomputed from lineage.)"""
+    (Persisted blocks lost with an executor are recomputed from lineage.)  A previous
+    temp table of the same name is released first."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        spark.catalog.uncacheTable(name)
     out = df.persist(level)
     out.createOrReplaceTempView(name)
     return out
