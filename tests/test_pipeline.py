@@ -137,3 +137,30 @@ def test_small_delta_merge_does_not_shuffle_the_target(spark):
     big = U.merge_df(stg, src, "transaction_id", inserted_at=None, updated_at=None,
                      broadcast_rows=5)
     assert "FullOuter" in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_parity_differs_exactly_by_a_transaction_turning_unsettled(spark, scratch):
+    raw = DT.raw_tables(spark, SF_SMOKE)
+    p = Pipeline(spark, scratch, raw)
+    p.run()
+    fact1 = p.tables["fact_payment_ledger"].read()
+    tid = fact1.orderBy("transaction_id").first().transaction_id
+    gw = raw["raw_gateway_log"]
+    last = gw.agg(F.max("_loaded_at"), F.max("gateway_timestamp")).first()
+    extra = (gw.filter(F.col("transaction_id") == tid).limit(1)
+             .withColumn("gateway_log_id", F.lit("zzzz-late-unsettled"))
+             .withColumn("gateway_timestamp", F.lit(last[1]).cast("timestamp_ntz")
+                         + F.expr("INTERVAL 1 DAY"))
+             .withColumn("settlement_amount", F.lit(None).cast("decimal(12,2)"))
+             .withColumn("_loaded_at", F.lit(last[0]).cast("timestamp_ntz")
+                         + F.expr("INTERVAL 1 DAY")))
+    raw2 = dict(raw, raw_gateway_log=gw.unionByName(extra))
+    p2 = Pipeline(spark, scratch, raw2)
+    steps = {r.step: r for r in p2.run()}
+    assert steps["stg_gateway_log"].rows_merged == 1           # only the late event
+    upserted = p2.tables["fact_payment_ledger"].read().drop("dw_load_timestamp")
+    rebuilt = M.build_all(raw2)["fact_payment_ledger"].withColumn(
+        "net_amount", F.col("net_amount").cast("decimal(12,2)"))
+    only_upsert, only_rebuild = parity(upserted, rebuilt)
+    assert [r.transaction_id for r in only_upsert.collect()] == [tid]
+    assert only_rebuild.count() == 0
