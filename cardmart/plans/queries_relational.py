@@ -17,7 +17,7 @@ from cardmart.operators.upsert import delta, merge_df, ACTION
 from cardmart.plans import models as M
 from cardmart.plans.catalog import query
 from cardmart.plans.oracle_views import with_views
-from cardmart.plans.queries_pipeline import fact
+from cardmart.plans.queries_ledger import fact
 from cardmart.sources import driver_tables as DT
 
 # A fixed high-water mark inside the test tables' load-time range.
