@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmart.llm import fingerprint, mixing, neardup, packing, quality, urlfilter, warc
+from cardmart.llm import fingerprint, mixing, neardup, packing, quality, sharding, toxicity, urlfilter, warc
 from cardmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,6 +172,25 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).drop("archive")
 
 
+# ---------------------------------------------------------------- 7: sharding
+
+@query("op7_sharding")
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- 8: toxicity
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs, model, "score")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 # ---------------------------------------------------------------- 9: near-duplicates
 
 @query("op9_superminhash", r"""

@@ -1,10 +1,11 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Training, on labelled documents only.  Features of a word are the word itself in
-lower case and its first ``STEM`` letters.  For each feature the log-odds of
-toxic against other texts are taken with an informative Dirichlet prior in
-proportion to the feature's frequency in both, so rare features stay near zero,
-and only those that differ from zero significantly (z) are kept.  A word scores
+lower case and its first ``STEM`` letters; a text counts once for each of its
+features, so one repetitive text has no more weight than another.  For each feature
+the log-odds of toxic against other texts are taken with an informative Dirichlet
+prior in proportion to the feature's frequency in both, so rare features stay near
+zero, and only those that differ from zero significantly (z) are kept.  A word scores
 the largest weight among its features less a ``drift``; other words score minus
 the drift.
 
@@ -13,9 +14,10 @@ Tompa): stretches whose total cannot be improved by moving an end.  By
 extreme-value theory the number of segments with at least a total of ``s`` in an
 innocent text of ``n`` words is about ``K n exp(-lambda s)``; lambda solves
 ``sum p(x) exp(lambda x) = 1`` over the word scores of innocent training texts and
-K makes the expected count match what they show.  The document's score is the
-probability that no such segment arises by chance, over all its segments whose
-expected count is below one (the best of them decides, further ones add).
+K makes the expected count match what they show.  The evidence of a document is
+the sum of -log(expected count) over its segments that are not expected by chance
+(count below one).  The score rises with it from 0 to 1 and is ``THRESHOLD`` at the
+evidence that parts the labelled training texts with the fewest errors.
 
 Limits of the fit: at most ``MAX_TRAINING`` labelled documents (those with the
 smallest md5 of their id) and ``MAX_FEATURES`` features, so the model has a fixed
@@ -36,24 +38,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from cardmart.llm.common import Scratch
 
 WORD = re.compile(r"\w+")
 STEM = 5
 MAX_TRAINING = 20_000
 MAX_FEATURES = 20_000
-PRIOR = 500.0      # total weight of the Dirichlet prior, in words
+PRIOR = 100.0      # total weight of the Dirichlet prior, in texts
 MIN_Z = 3.0
-MIN_WEIGHT = 1.0
+MIN_WEIGHT = 2.0
 DRIFT = 0.35
 THRESHOLD = 0.3
 
 
-def features_of(word: str) -> tuple[str, ...]:
-    """The word and its stem (marked, so that a stem and an equal word stay apart)."""
-    return (word, word[:STEM] + "~") if len(word) >= STEM else (word,)
-
-
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first, last) of a text.
 
@@ -86,6 +85,7 @@ class ToxicityModel:
     drift: float
     lam: float
     k: float
+    scale: float = 3.0  # evidence at which the score is THRESHOLD
 
     def segments(self, text: str | None) -> tuple[list[tuple[float, int, int]], int]:
         """Maximal segments in words, and the number of words."""
@@ -108,18 +108,14 @@ class ToxicityModel:
     def expected(self, score: float, n: int) -> float:
         return self.k * max(n, 1) * math.exp(-self.lam * score)
 
-    def score(self, text: str | None) -> float:
+    def evidence(self, text: str | None) -> float:
+        """Negative log of the expected counts, over all segments that chance would not bring about."""
         found, n = self.segments(text)
-        rest = 0.0
-        for s, _, _ in found:
-            e = self.expected(s, n)
-            if e < 1:
-                rest -= math.log(max(e, 1e-12))
-        return 1 - math.exp(-rest / SIGNIFICANT) if rest else 0.0
-
+        return sum(-math.log(max(e, 1e-12)) for e in (self.expected(s, n) for s, _, _ in found) if e < 1)
 
-#: Natural-log significance at which a document reaches a score of 1 - 1/e.
-SIGNIFICANT = 3.0
+    def score(self, text: str | None) -> float:
+        x = self.evidence(text)
+        return x / (x + self.scale * (1 - THRESHOLD) / THRESHOLD)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> DataFrame:
@@ -131,19 +127,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> ToxicityModel:
-    rows = training_rows(docs, labels, limit)
-
-    def words(s: Column) -> Column:
-        return F.regexp_extract_all(F.lower(F.coalesce(s, F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
-
-    single = rows.select("toxic", F.explode(words(F.col("text"))).alias("w"))
-    stems = single.where(F.length("w") >= STEM).select("toxic", F.concat(F.substring("w", 1, STEM), F.lit("~")).alias("w"))
-    totals = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING, scratch: Scratch | None = None) -> ToxicityModel:
+    scratch = scratch or Scratch(docs.sparkSession, "toxicity")
+    rows = scratch.cut(training_rows(docs, labels, limit), "training")
+    totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return ToxicityModel({}, DRIFT, 1.0, 1.0)
-    counts = (single.unionByName(stems).groupBy("w")
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
+    stems = F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) >= STEM),
+                                         lambda w: F.concat(F.substring(w, 1, STEM), F.lit("~"))))
+    counts = (rows.select("toxic", F.explode(F.concat(words, stems)).alias("w")).groupBy("w")
               .agg(F.sum("toxic").cast("double").alias("y1"), F.sum(1 - F.col("toxic")).cast("double").alias("y0")))
     y1, y0 = F.col("y1"), F.col("y0")
     a = F.lit(PRIOR) * (y1 + y0) / float(n1 + n0)
@@ -181,7 +175,26 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Toxici
     lam = (lo + hi) / 2
     # K: expected segments of the mean score per word equal the share seen.
     k = p * math.exp(lam * gain) if found else p
-    return ToxicityModel(weights, DRIFT, lam, min(k, 1.0))
+    calibrated = ToxicityModel(weights, DRIFT, lam, min(k, 1.0))
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"x": [calibrated.evidence(t) for t in b["text"]], "toxic": b["toxic"]})
+
+    # At most ``limit`` pairs of numbers.
+    pairs = sorted((r["x"], r["toxic"]) for r in rows.mapInPandas(weigh, "x double, toxic int").collect())
+    errors = best = sum(t == 0 for x, t in pairs if x > 0) + sum(t for x, t in pairs if x <= 0)
+    scale, i = None, 0
+    pairs = [p for p in pairs if p[0] > 0]
+    while i < len(pairs):  # the cut goes up through the distinct values
+        x = pairs[i][0]
+        while i < len(pairs) and pairs[i][0] == x:
+            errors += 1 if pairs[i][1] else -1
+            i += 1
+        if errors < best and i < len(pairs):
+            best, scale = errors, (x + pairs[i][0]) / 2
+    scale = scale if scale is not None else (pairs[0][0] if pairs else 3.0)
+    return ToxicityModel(weights, DRIFT, lam, min(k, 1.0), scale)
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, column: str, text: str = "text") -> DataFrame:
