@@ -13,9 +13,12 @@
    most bucket mates over all its buckets.  Pairs pass a size bound and a bound
    on the bits of a 1-bit sketch (a true pair fails with probability 1e-6), then
    the exact test on the full sets.  Connected components follow.
-5. Buckets whose members are by now in different components are not settled: there
-   every pair of members of different components is tried in the same way, once.
-   A link inside one component cannot change the result.
+5. Buckets whose members are by now in different components are not settled.  Among
+   the members of all of them the remaining links are found by prefix filtering: of
+   each set the rarest shingles come first, and a pair is tried if it shares one of
+   the first few, which every similar pair does.  Copies of one text with edits of
+   their own each share none of those, so large families make few pairs.  A link
+   inside one component cannot change the result, so none that matters is left out.
 
 Words: A-Z in lower case, split at ASCII white space.  Fewer words than the
 shingle size: the whole sequence is one shingle.  Null and empty texts, and texts
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardmart.llm.common import MIX, Scratch, WordHash, mixed, shingle_hashes, word_hashes
 
@@ -239,31 +242,45 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     sets = scratch.cut(shingle_sets(texts, shingle).join(
         base.where("set_hash is not null").select("doc_id").distinct(), "doc_id", "left_semi"), "sets")
     links = scratch.cut(verified(stars, sets, percent), "links")
-    first = components(links, scratch, "first")
-
-    # Buckets whose members are not all in one component yet.
-    label = first.select(F.col("node").alias("rep"), F.col("component").alias("found"))
-    labelled = members.select("key", "rep").join(label, "rep", "left").select(
-        "key", "rep", F.coalesce("found", "rep").alias("label"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(
-        "lo <> hi").select("key")
-    left = scratch.cut(labelled.join(mixed_keys, "key").join(
-        info.withColumnRenamed("n", "x_n").withColumnRenamed("bits", "x_bits"), "rep"), "unsettled")
-    x = left.select("key", F.col("rep").alias("a"), F.col("label").alias("a_label"),
-                    F.col("x_n").alias("a_n"), F.col("x_bits").alias("a_bits"))
-    y = left.select("key", F.col("rep").alias("b"), F.col("label").alias("b_label"),
-                    F.col("x_n").alias("b_n"), F.col("x_bits").alias("b_bits"))
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = (x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
-                   & _plausible("a_", "b_", percent)).select("a", "b").distinct()
-            .join(tried, ["a", "b"], "left_anti"))
+    found = components(links, scratch, "first")
+
+    def unsettled(found: DataFrame, name: str) -> DataFrame:
+        """Members (with their component) of buckets that hold more than one component."""
+        label = found.select(F.col("node").alias("rep"), F.col("component").alias("found"))
+        labelled = members.select("key", "rep").join(label, "rep", "left").select(
+            "key", "rep", F.coalesce("found", "rep").alias("label"))
+        keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(
+            "lo <> hi").select("key")
+        return scratch.cut(labelled.join(keys, "key").join(info, "rep"), name)
+
+    # Their remaining links.  The rarest shingles of a set come first; two sets that are similar enough
+    # must share one among their first n - ceil(percent * n) + 1, so only such pairs are tried.
+    open_sets = (unsettled(found, "open").select(F.col("rep").alias("doc_id"), "label", "n", "bits").distinct()
+                 .join(sets, "doc_id"))
+    tokens = scratch.cut(open_sets.select("doc_id", F.explode("shingles").alias("s")), "open-shingles")
+    spread = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "s"))
+    first = (tokens.join(spread, "s").withColumn("place", place)
+             .join(open_sets.select("doc_id", "label", "n", "bits"), "doc_id")
+             .where((F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)))
+    first = scratch.cut(first, "open-prefixes")
+    x = first.select("s", F.col("doc_id").alias("a"), F.col("label").alias("a_label"),
+                     F.col("n").alias("a_n"), F.col("bits").alias("a_bits"), F.col("place").alias("a_place"))
+    y = first.select("s", F.col("doc_id").alias("b"), F.col("label").alias("b_label"),
+                     F.col("n").alias("b_n"), F.col("bits").alias("b_bits"), F.col("place").alias("b_place"))
+    # The first shingle that a pair shares leaves room for no more than the places after it.
+    room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place")) + 1
+    enough = room * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n"))
+    more = (x.join(y, (x["s"] == y["s"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
+                   & enough & _plausible("a_", "b_", percent)).select("a", "b").distinct())
+    more = scratch.cut(more, "open-pairs")
     more = scratch.cut(verified(more, sets, percent), "more")
     # The same id under several texts ties its classes together.
     again = (known.select("doc_id", "set_hash", "set_hash2").distinct()
              .join(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "doc_id")
              .join(classes.select("set_hash", "set_hash2", "rep"), ["set_hash", "set_hash2"])
              .where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    graph = (first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    graph = (found.select(F.col("node").alias("a"), F.col("component").alias("b"))
              .unionByName(more).unionByName(again))
     final = components(graph, scratch, "final")
 
