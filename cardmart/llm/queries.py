@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmart.llm import fingerprint, mixing, neardup, packing, quality, sharding, toxicity, urlfilter, warc
+from cardmart.llm import fingerprint, kneser_ney, mixing, neardup, packing, quality, sharding, toxicity, urlfilter, warc
 from cardmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,6 +172,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).drop("archive")
 
 
+# ---------------------------------------------------------------- 6: language model
+
+@query("op6_kneser_ney")
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.fit(docs.where(~kneser_ney.held_out()))
+    return kneser_ney.score(docs, model).withColumn("held_out", kneser_ney.held_out())
+
+
 # ---------------------------------------------------------------- 7: sharding
 
 @query("op7_sharding")
