@@ -68,12 +68,15 @@ def _array(uri: str, dtype: str) -> np.ndarray:
 
 
 def discounts(n: list[float]) -> tuple[float, float, float]:
-    """Discounts of counts 1, 2 and more from the numbers of keys with counts 1 to 4."""
+    """Discounts of counts 1, 2 and more from the numbers of keys with counts 1 to 4.
+
+    Each is held within a tenth and the whole of its count, so something is always left for unseen tokens.
+    """
     n1, n2, n3, n4 = n
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     out = []
     for k, (a, b) in enumerate(((n1, n2), (n2, n3), (n3, n4)), 1):
-        out.append(min(max(k - (k + 1) * y * b / a, 0.0), k) if a and b else 0.5 * k)
+        out.append(min(max(k - (k + 1) * y * b / a, 0.1 * k), k) if a and b else 0.5 * k)
     return tuple(out)
 
 

@@ -64,7 +64,7 @@ def with_features(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS,
     joined = F.concat(F.lit(" "), F.array_join(w, "  "), F.lit(" "))  # two spaces for each word
     df = df.withColumns({
         q + "n": F.size(w).cast("long"),
-        q + "wc": F.greatest(F.lit(0).cast("long"), (F.length(joined) - 2 * F.size(w)).cast("long")),
+        q + "wc": F.when(F.size(w) > 0, F.length(joined) - 2 * F.size(w)).otherwise(0).cast("long"),
         # Hashes of the windows of three words; two windows are equal if their hashes are.
         q + "h": F.when(F.size(w) >= 3, F.transform(
             F.sequence(F.lit(0), F.size(w) - 3),

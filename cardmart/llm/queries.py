@@ -144,6 +144,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                   public_tokenizers.PATTERN)
 
 

@@ -78,10 +78,10 @@ def _record(page_id, url, payload: bytes, digest: str, size: int, first_id, date
 
 def build_archive(records: list[bytes], dictionary_bytes: int = 64 << 10, sample_bytes: int = 8 << 20,
                   level: int = 6) -> bytes:
-    """Bytes of one archive.  The dictionary is trained on evenly spaced records of it."""
+    """Bytes of one archive.  The dictionary is trained on evenly spaced records of it, cut into samples of 2 KB."""
     total = sum(map(len, records))
     step = max(1, -(-total // sample_bytes))
-    sample = [r[:128 << 10] for r in records[::step]]
+    sample = [r[i:i + 2048] for r in records[::step] for i in range(0, len(r), 2048)]
     frames, dictionary = [], None
     if len(sample) >= 8 and sum(map(len, sample)) >= 4 * 1024:
         try:

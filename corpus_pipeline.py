@@ -55,7 +55,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality", quality_stage), ("toxicity", toxicity_stage), ("near_dedup", near_dedup_stage),
