@@ -15,7 +15,7 @@ response, the others as revisits of it; shorter payloads are always responses.
 Repeated rows that share the smallest key are all responses.  A row with a null
 key is never a revisit's target: it revisits the smallest key of its payload if
 one is not null, else it is a response.  Null URLs have no target header.  An
-archive of fewer records than training needs has no dictionary frame.  Empty
+archive with less than 4 KB of records cannot be trained on and has no dictionary frame.  Empty
 tables write no archive.  Other columns stay unread.
 """
 
@@ -83,7 +83,7 @@ def build_archive(records: list[bytes], dictionary_bytes: int = 64 << 10, sample
     step = max(1, -(-total // sample_bytes))
     sample = [r[i:i + 2048] for r in records[::step] for i in range(0, len(r), 2048)]
     frames, dictionary = [], None
-    if len(sample) >= 8 and sum(map(len, sample)) >= 4 * 1024:
+    if total >= 4 * 1024:
         try:
             dictionary = zstandard.train_dictionary(min(dictionary_bytes, sum(map(len, sample)) // 4), sample)
         except zstandard.ZstdError:  # records too few or too alike to train on

@@ -218,7 +218,7 @@ def test_archives_begin_with_their_dictionary(spark, sf):
     s = Scratch(spark, "test")
     assert warc.archive_pages(spark, sf("pages").coalesce(1), s).count() == sf("pages").count()
     files = spark.read.format("binaryFile").load(s.path("archives")).collect()
-    assert files and all(bytes(f["content"][:4]) == b"\x50\x2a\x4d\x18" for f in files)
+    assert files and all(bytes(f["content"][:4]) == b"\x5d\x2a\x4d\x18" for f in files)
 
 
 def test_archive_records_are_frames_of_their_own():
