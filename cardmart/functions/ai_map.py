@@ -33,7 +33,7 @@ class BudgetExceeded(RuntimeError):
 
 def ai_map(df: DataFrame, fn: Callable[[str], str], in_col: str, out_schema: str,
            result_col: str = "ai_result", max_input_tokens: int | None = None) -> DataFrame:
-    """Apply ``fn(text) -> JSON text`` to ``df[in_col]``; adds ``result_col`` as
+    """Apply ``fn(text) -> JSON text`` (an object; anything else is an error) to ``df[in_col]``; adds ``result_col`` as
     ``struct<ok, value: out_schema, error>``."""
     keyed = df.withColumn("_h", F.sha2(F.col(in_col), 256))
     inputs = keyed.select("_h", in_col).filter(F.col("_h").isNotNull()).dropDuplicates(["_h"])
@@ -47,11 +47,14 @@ def ai_map(df: DataFrame, fn: Callable[[str], str], in_col: str, out_schema: str
             raws, errs = [], []
             for text in pdf[in_col]:
                 try:
-                    raws.append(fn(text))
+                    raw = fn(text)
+                    if not isinstance(json.loads(raw), dict):
+                        raise ValueError("answer is not a JSON object")
+                    raws.append(raw)
                     errs.append(None)
                 except Exception as e:  # noqa: BLE001 -- one bad row must not abort the batch
                     raws.append(None)
-                    errs.append(f"{type(e).__name__}: {e}"[:300])
+                    errs.append(f"{type(e).__name__}: {e}")
             yield pd.DataFrame({"_h": pdf["_h"], "_raw": raws, "_err": errs})
 
     answered = inputs.mapInPandas(run, "_h string, _raw string, _err string")
@@ -65,7 +68,7 @@ def ai_map(df: DataFrame, fn: Callable[[str], str], in_col: str, out_schema: str
 # --- a deterministic stand-in scorer (no model available offline) -------------------------------
 
 _SEVERE = {"fraud", "fraudulent", "stolen", "unauthorized", "chargeback", "never", "refused",
-           "damaged", "idiot", "scum", "trash", "worthless"}
+           "damaged"}
 
 
 def keyword_triage_json(text: str) -> str:

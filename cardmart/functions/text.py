@@ -154,7 +154,8 @@ SLOTS = [
 ]
 
 
-def slot_for(question: str) -> str:
+def slot_for(question: str) -> str | None:
+    """Slot that a question asks for, or ``None`` for a question outside all slots."""
     q = question.lower()
     for name, _ in SLOTS:
         if name in q:
@@ -165,16 +166,20 @@ def slot_for(question: str) -> str:
         return "date"
     if "much" in q:
         return "amount"
-    return "email" if "contact" in q else "amount"
+    return "email" if "contact" in q else None
 
 
 def extract_answer(text: str | Column, question: str) -> Column:
     """``[{answer, score}]`` -- the first match of the question's slot pattern,
-    score 1.0; no match is an empty array."""
-    pattern = dict(SLOTS)[slot_for(question)]
+    score 1.0; no match, or a question outside all slots, is an empty array."""
+    none = F.array().cast("array<struct<answer:string,score:double>>")
+    slot = slot_for(question)
+    if slot is None:
+        return F.when(_c(text).isNotNull(), none)
+    pattern = dict(SLOTS)[slot]
     m = F.regexp_extract(_c(text), pattern, 1)
     item = F.struct(m.alias("answer"), F.lit(1.0).alias("score"))
-    return F.when(m == "", F.array().cast("array<struct<answer:string,score:double>>")) \
+    return F.when(m == "", none) \
         .otherwise(F.array(item))
 
 
@@ -241,9 +246,20 @@ def classify(text: str | Column, labels: Sequence[str | Mapping[str, str]],
 
 # --- T09 natural-language filter ---------------------------------------------------------------
 
-# FIXED VALUES: topic terms of the fraud-like filter.
+# Topics that a filter instruction can name, with the terms looked for.
 FRAUD_TERMS = ["fraud", "fraudulent", "stolen", "unauthorized", "recognize", "unfamiliar",
-               "unknown", "scam", "suspicious", "idiot", "scum", "trash"]
+               "unknown", "scam", "suspicious"]
+ABUSE_TERMS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid",
+               "trash", "worthless"]
+TOPICS = {"fraud": FRAUD_TERMS, "abus": ABUSE_TERMS, "insult": ABUSE_TERMS}
+
+
+def terms_for(instruction: str) -> list[str]:
+    """Terms of all topics that an instruction names; an instruction without a known topic is an error."""
+    found = sorted({t for name, terms in TOPICS.items() if name in instruction.lower() for t in terms})
+    if not found:
+        raise ValueError(f"no known topic in the instruction: {instruction!r}")
+    return found
 
 
 def ai_filter(text: str | Column, terms: Sequence[str] = FRAUD_TERMS,
@@ -308,9 +324,9 @@ def truncate_tokens(text: str | Column, max_tokens: int) -> Column:
 
 # --- T14 structured triage ---------------------------------------------------------------------
 
-# FIXED VALUES: triage rules.
+# Triage rules (parameters).
 SEVERITY_TERMS = ["fraud", "fraudulent", "stolen", "unauthorized", "chargeback", "never",
-                  "refused", "damaged", "idiot", "scum", "trash", "worthless"]
+                  "refused", "damaged"]
 REFUND_LABELS = ["DUPLICATE", "REFUND_NOT_PROCESSED", "DEFECTIVE", "GOODS_NOT_RECEIVED",
                  "AMOUNT_MISMATCH"]
 ACTIONS = {

@@ -266,6 +266,8 @@ def load_incremental(raw: DataFrame, target: SnapshotTable, wm: SnapshotTable,
         dup = duplicate_keys(slice_df, key).limit(1).collect()[0]
         raise DuplicateKeyError(f"source key {dict(dup.asDict())} occurs more than once")
     new_mark = stats["new_mark"]
+    if not stats["keys"]:  # an empty slice writes nothing and leaves the mark
+        return MergeResult(target.spec.name, 0, 0, target.current_version(), mark, mark)
     if new_mark is not None:
         slice_df = slice_df.filter(F.col("_loaded_at") <= F.lit(new_mark).cast("timestamp_ntz"))
     res = upsert(target, transform(slice_df), check_duplicates=False, source_rows=stats["keys"])

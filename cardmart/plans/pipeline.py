@@ -46,13 +46,13 @@ GRAPH: dict[str, tuple[str, ...]] = {
 }
 
 
-def fact_from_intermediates(ite: DataFrame, ist: DataFrame, ifz: DataFrame, disputes: DataFrame,
+def fact_from_intermediates(enriched: DataFrame, settlements: DataFrame, fees: DataFrame, disputes: DataFrame,
                             net_scale2: bool = True) -> DataFrame:
-    """The procedure flavour of the fact: join of the three stored intermediate tables."""
-    j = (ite.drop("dw_updated_at")
-         .join(ist.select("transaction_id", "settlement_amount"), "transaction_id", "inner")
-         .join(ifz.select("transaction_id", "interchange_fee", "scheme_fee"), "transaction_id",
-               "inner"))
+    """The fact from the three stored intermediate tables: fees first, then settlements (the
+    grain), then the transaction columns."""
+    amounts = (fees.select("transaction_id", "interchange_fee", "scheme_fee")
+               .join(settlements.select("transaction_id", "settlement_amount"), "transaction_id"))
+    j = amounts.join(enriched.drop("dw_updated_at"), "transaction_id")
     j = existence_flag(j, disputes, "transaction_id", "is_disputed")
     return j.select(
         surrogate_key("transaction_id").alias("payment_ledger_key"), "transaction_id",
@@ -208,15 +208,15 @@ class Pipeline:
         (self.spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.run_log_path))
 
-    def run_history(self, minutes: int = 30, limit: int = 20) -> DataFrame:
+    def run_history(self, minutes: int = 30, limit: int | None = None) -> DataFrame:
         """Recent step runs, newest first."""
         try:
             log = self.spark.read.parquet(self.run_log_path)
         except AnalysisException:
             return self.spark.createDataFrame([], RUN_LOG_SCHEMA)
         since = load_time() - F.make_dt_interval(mins=F.lit(minutes))
-        return (log.filter(F.col("started_at") >= since)
-                .orderBy(F.col("started_at").desc(), F.col("step")).limit(limit))
+        recent = log.filter(F.col("started_at") >= since).orderBy(F.col("started_at").desc(), F.col("step"))
+        return recent if limit is None else recent.limit(limit)
 
     def row_counts(self) -> DataFrame:
         """Row count of every managed table as one result, ordered by name."""
@@ -235,7 +235,7 @@ def _timed(step: str, fn: Callable[[], MergeResult | int]) -> StepResult:
     try:
         res = fn()
     except Exception as e:  # noqa: BLE001 -- a failed step is recorded, downstream skipped
-        return StepResult(step, "FAILED", started, _now(), None, f"{type(e).__name__}: {e}"[:500])
+        return StepResult(step, "FAILED", started, _now(), None, f"{type(e).__name__}: {e}")
     if isinstance(res, MergeResult):
         return StepResult(step, "SUCCEEDED", started, _now(), res.merged, res.status())
     return StepResult(step, "SUCCEEDED", started, _now(), None, f"{step}: {res} table(s)")

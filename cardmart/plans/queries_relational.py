@@ -221,8 +221,7 @@ def p18(spark, sf_dir):
     return e.select("event_id", k.alias("k"), k.cast("long").alias("k_num"))
 
 
-FILTER_TEMPLATE = ("This card dispute describes fraud or a charge the cardholder does not "
-                   "recognize: {0}")
+FILTER_TEMPLATE = K.FILTER_PROMPT
 
 
 @query("p20_prompt", with_views(f"""

@@ -26,8 +26,9 @@ def _scratch(spark) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/stream-runs/{uuid.uuid4().hex}"
 
 
-def _land_files(df, path: str, files: int = 8) -> None:
-    df.repartitionByRange(files, "_loaded_at").write.mode("overwrite").parquet(path)
+def _land_files(df, path: str) -> None:
+    """Slices by load time; their number follows the size of the data (shuffle partitions, AQE)."""
+    df.repartitionByRange("_loaded_at").write.mode("overwrite").parquet(path)
 
 
 @query("st1_ingest", with_views("""
@@ -40,7 +41,7 @@ def st1(spark, sf_dir):
     _land_files(raw, f"{root}/landing")
     target = SnapshotTable(spark, f"{root}/tables", TABLES["stg_transactions"])
     ingest_files(spark, f"{root}/landing", raw.schema, target, M.stg_transactions,
-                 name=f"st1-{root.rsplit('/', 1)[-1]}", max_files_per_trigger=2)
+                 name=f"st1-{root.rsplit('/', 1)[-1]}")
     return target.read().drop("dw_inserted_at", "dw_updated_at")
 
 
@@ -52,8 +53,7 @@ def st2(spark, sf_dir):
     gw = DT.raw_gateway_log(spark, sf_dir)
     _land_files(gw, f"{root}/landing")
     maintain_latest(spark, f"{root}/landing", gw.schema, f"{root}/state", "transaction_id",
-                    "gateway_timestamp", "gateway_log_id", name=f"st2-{root.rsplit('/', 1)[-1]}",
-                    max_files_per_trigger=2)
+                    "gateway_timestamp", "gateway_log_id", name=f"st2-{root.rsplit('/', 1)[-1]}")
     state = current_state(spark, f"{root}/state")
     return state.select("transaction_id", "gateway_log_id", "settlement_amount",
                         "gateway_timestamp")

@@ -355,17 +355,17 @@ def t08_confusion(spark, sf_dir):
 
 # --- T09 / A13 filter ---------------------------------------------------------------------------
 
-FILTER_TEMPLATE = ("This card dispute describes fraud or a charge the cardholder does not "
-                   "recognize: {0}")
+FILTER_TEMPLATE = K.FILTER_PROMPT
+FILTER_TERMS = TX.terms_for(FILTER_TEMPLATE)
 _FILTER_SQL = f"""
-(SELECT *, CASE WHEN len(pw) > 0 THEN {hits_sql('pw', TX.FRAUD_TERMS)} / len(pw) >= 0.001 ELSE false END AS flagged
+(SELECT *, CASE WHEN len(pw) > 0 THEN {hits_sql('pw', FILTER_TERMS)} / len(pw) >= 0.001 ELSE false END AS flagged
  FROM (SELECT *, {WORDS_SQL} AS pw FROM dispute_memos))"""
 
 
 def _flagged(spark, sf_dir):
     """The filter's instruction (FILTER_TEMPLATE) selects the topic terms; the memo is scored."""
     d = DT.dispute_memos(spark, sf_dir)
-    h = hit_counts(d, ["dispute_id"], "memo_text", {"topic": TX.FRAUD_TERMS},
+    h = hit_counts(d, ["dispute_id"], "memo_text", {"topic": FILTER_TERMS},
                    carry=["dispute_category"], with_word_count=True)
     return h.withColumn("flagged", TX.filter_rule(F.col("topic"), F.col("n_words"), 0.001))
 
@@ -519,7 +519,7 @@ def t15(spark, sf_dir):
     """Batch text function with safe failure over distinct memo texts (Arrow batches)."""
     from cardmart.functions.ai_map import ai_map, keyword_triage_json
     d = DT.dispute_memos(spark, sf_dir).select("dispute_id", "memo_text")
-    out = ai_map(d, keyword_triage_json, "memo_text", TX.TRIAGE_SCHEMA, max_input_tokens=1_000_000_000)
+    out = ai_map(d, keyword_triage_json, "memo_text", TX.TRIAGE_SCHEMA)
     return out.select("dispute_id", "ai_result.ok", "ai_result.error",
                       "ai_result.value.severity", "ai_result.value.refund_recommended")
 

@@ -132,6 +132,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     current = tempfile.mkdtemp(prefix="cardmart-ckpt-")
     sc.setCheckpointDir(current)
     return current
