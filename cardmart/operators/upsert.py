@@ -1,9 +1,7 @@
 """Keyed upsert and high-water-mark incremental loads.
 
-``merge_df`` is the pure relational core: one full outer join of target and
-source on the key (one shuffle of each side by the key; AQE splits a skewed
-key's partition), then per column "source if matched else target".  Nothing
-is ever deleted.  ``upsert`` wraps it around a ``SnapshotTable``: check the
+``merge_df`` is the pure relational core: target and source are joined on the
+key, then per column "source if matched else target".  Nothing is ever deleted.  ``upsert`` wraps it around a ``SnapshotTable``: check the
 source keys are unique, merge, write the next version, count what happened
 with ``observe`` during that same write (no second pass).
 """
@@ -45,18 +43,12 @@ def check_unique_keys(source: DataFrame, key: str | Sequence[str]) -> None:
         raise DuplicateKeyError(f"source key {dict(dup[0].asDict())} occurs more than once")
 
 
-# Above this many source keys the merge shuffles both sides (full outer join);
-# at or below it the source keys are broadcast and the target is never shuffled.
-BROADCAST_KEY_ROWS = 2_000_000
-
-
 def merge_df(target: DataFrame, source: DataFrame, key: str | Sequence[str],
              update_cols: Sequence[str] | None = None,
              inserted_at: str | None = "dw_inserted_at",
              updated_at: str | None = "dw_updated_at",
              now: Column | None = None, with_action: bool = True,
-             strategy: str = "auto", source_rows: int | None = None,
-             broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
+             strategy: str = "auto") -> DataFrame:
     """Upsert ``source`` into ``target`` by ``key``; returns the new table.
 
     Matched rows take the source value of every ``update_cols`` column (default:
@@ -64,19 +56,15 @@ def merge_df(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     target-only rows are kept unchanged.  ``inserted_at`` is set on insert only,
     ``updated_at`` on insert and update.  Source keys must be unique.
 
-    Strategy ``auto`` counts the source keys (or takes ``source_rows``):
-
-    * ``broadcast`` (small delta): kept = target anti-join the broadcast source
-      keys, matched = target semi-join them -- the big side is streamed and
-      rewritten but never shuffled; only matched rows meet the source.
-    * ``shuffle`` (large delta): one full outer join, both sides hashed by key
-      (AQE splits a skewed key's partition).
+    * ``auto``: the target left joins the source, and source rows whose key the
+      target does not hold are added (the target's key column is read a second
+      time for that).  No hint: AQE broadcasts the source if its measured bytes
+      allow it, and then the target is not shuffled; otherwise both sides are.
+    * ``shuffle`` (full-table merges): one full outer join, both sides read once
+      and hashed by key.  Keys are unique, so none of them is hot.
     """
     ks = _keys(key)
     now = load_time() if now is None else now
-    if strategy == "auto":
-        n = source_rows if source_rows is not None else source.select(*ks).count()
-        strategy = "broadcast" if n <= broadcast_rows else "shuffle"
     src_cols = [c for c in source.columns if c not in ks]
     s = source.select(*ks, *[F.col(c).alias(f"__s_{c}") for c in src_cols],
                       F.lit(True).alias("__in_s"))
@@ -85,15 +73,13 @@ def merge_df(target: DataFrame, source: DataFrame, key: str | Sequence[str],
                           now, with_action)
     if strategy == "shuffle":
         return t.join(s, ks, "full_outer").select(*cols)
-    if strategy != "broadcast":
+    if strategy != "auto":
         raise ValueError(f"unknown merge strategy {strategy}")
-    src_keys = F.broadcast(source.select(*ks))  # size checked above
-    kept = target.join(src_keys, ks, "left_anti")
-    if with_action:
-        kept = kept.withColumn(ACTION, F.lit("keep"))
-    matched = t.join(src_keys, ks, "left_semi")
-    changed = s.join(matched, ks, "left").select(*cols)
-    return kept.unionByName(changed)
+    tagged = t.join(s, ks, "left").select(*cols)
+    known = target.select(*ks).join(source.select(*ks), ks, "left_semi")
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields if f.name not in ks]
+    fresh = s.join(known, ks, "left_anti").select("*", *absent).select(*cols)
+    return tagged.unionByName(fresh)
 
 
 def _merge_columns(tcols, ks, src_cols, update_cols, inserted_at, updated_at, now,
@@ -145,34 +131,25 @@ class MergeResult:
 
 
 def upsert(table: SnapshotTable, source: DataFrame, update_cols: Sequence[str] | None = None,
-           check_duplicates: bool = True, source_rows: int | None = None,
-           strategy: str = "auto") -> MergeResult:
+           check_duplicates: bool = True, strategy: str = "auto") -> MergeResult:
     """Merge ``source`` into the snapshot table and commit a new version.
 
     ``check_duplicates=False`` is for sources unique by construction (a
     ``row_number() = 1`` output, a join of unique keys to unique masters): it
     saves a full evaluation of the source.  A full-table merge should pass
-    ``strategy="shuffle"`` so that the source is not counted first either.
+    ``strategy="shuffle"``, which reads both sides once.
     """
     key = list(table.spec.key)
-    if check_duplicates and source_rows is None:
-        # one aggregate gives both the duplicate check and the key count for the strategy
-        stats = source.groupBy(*key).count().agg(
-            F.count(F.lit(1)).alias("keys"), F.max("count").alias("max_n")).first()
-        if stats["max_n"] is not None and stats["max_n"] > 1:
-            dup = duplicate_keys(source, key).limit(1).collect()[0]
-            raise DuplicateKeyError(f"source key {dict(dup.asDict())} occurs more than once")
-        source_rows = stats["keys"]
+    if check_duplicates:
+        check_unique_keys(source, key)
     with table.lock:
-        return _upsert_locked(table, source, key, update_cols, source_rows, strategy)
+        return _upsert_locked(table, source, key, update_cols, strategy)
 
 
 def _upsert_locked(table: SnapshotTable, source: DataFrame, key: list[str],
-                   update_cols: Sequence[str] | None, source_rows: int | None,
-                   strategy: str) -> MergeResult:
+                   update_cols: Sequence[str] | None, strategy: str) -> MergeResult:
     target = table.read()
-    merged = merge_df(target, source, key, update_cols=update_cols, source_rows=source_rows,
-                      strategy=strategy,
+    merged = merge_df(target, source, key, update_cols=update_cols, strategy=strategy,
                       inserted_at="dw_inserted_at" if "dw_inserted_at" in target.columns else None,
                       updated_at=_updated_col(target.columns))
     obs = Observation(f"merge_{table.spec.name}")
@@ -255,8 +232,8 @@ def load_incremental(raw: DataFrame, target: SnapshotTable, wm: SnapshotTable,
     mark = read_watermark(wm, source_table)
     slice_df = delta(raw, mark, inclusive=inclusive)
     key = list(target.spec.key)
-    # One aggregate over the slice fixes the upper bound, counts the keys (merge
-    # strategy) and finds duplicate keys (U16).  Then merge exactly (mark, new_mark]:
+    # One aggregate over the slice fixes the upper bound, tells an empty slice
+    # and finds duplicate keys (U16).  Then merge exactly (mark, new_mark]:
     # rows that land while the job runs are above the bound and wait for next time.
     stats = (slice_df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"),
                                         F.max("_loaded_at").alias("m"))
@@ -270,7 +247,7 @@ def load_incremental(raw: DataFrame, target: SnapshotTable, wm: SnapshotTable,
         return MergeResult(target.spec.name, 0, 0, target.current_version(), mark, mark)
     if new_mark is not None:
         slice_df = slice_df.filter(F.col("_loaded_at") <= F.lit(new_mark).cast("timestamp_ntz"))
-    res = upsert(target, transform(slice_df), check_duplicates=False, source_rows=stats["keys"])
+    res = upsert(target, transform(slice_df), check_duplicates=False)
     advance_watermark(wm, source_table, new_mark)  # after the data commit: a crash in between re-merges (idempotent)
     res.watermark_before, res.watermark_after = mark, new_mark if new_mark is not None else mark
     return res

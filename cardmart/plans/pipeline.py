@@ -26,7 +26,7 @@ from cardmart.operators.upsert import MergeResult, load_incremental, reset_water
 from cardmart.operators.upsert import seed_watermarks, upsert
 from cardmart.plans import models as M
 from cardmart.schemas import TABLES
-from cardmart.sources.snapshot import SnapshotTable
+from cardmart.sources.snapshot import SnapshotTable, replace_table
 
 INCREMENTAL_SOURCES = ("raw_transactions", "raw_gateway_log")
 
@@ -156,19 +156,22 @@ class Pipeline:
             n += 1
         return n
 
-    def dimension(self, name: str) -> DataFrame:
+    def mart(self, name: str) -> DataFrame:
+        """A published model: a dimension, or any model after ``rebuild``."""
         return self.spark.read.parquet(f"{self.mart_path}/{name}")
 
     # --- rebuild mode ---------------------------------------------------------------------------
     def rebuild(self) -> list[StepResult]:
-        """Recompute the fact and dimensions from raw (declarative-model flavour)."""
-        results = []
+        """Recompute every model from raw and publish it under ``marts`` (declarative-model flavour).
+
+        Types are those of the models: ``net_amount`` keeps four decimals, unlike
+        the fact table of the upsert mode, which is left alone.
+        """
         started = _now()
         models = M.build_all(self.raw, with_load_time=True)
-        self.build_dimensions()
-        v = self.tables["fact_payment_ledger"].write(models["fact_payment_ledger"])
-        results.append(StepResult("rebuild_fact", "SUCCEEDED", started, _now(), None,
-                                  f"fact_payment_ledger version {v}"))
+        for name, df in models.items():
+            replace_table(df, f"{self.mart_path}/{name}")
+        results = [StepResult("rebuild", "SUCCEEDED", started, _now(), None, f"rebuild: {len(models)} table(s)")]
         self._log(results)
         return results
 

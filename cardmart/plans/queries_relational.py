@@ -306,10 +306,18 @@ SELECT 'raw_transactions' AS source_table,
 FROM raw_transactions WHERE _loaded_at > {MARK_SQL}""", "raw_transactions"))
 def u10(spark, sf_dir):
     """New mark = max load time of the merged slice; unchanged when the slice is empty."""
-    d = delta(DT.raw_transactions(spark, sf_dir), MARK)
-    return d.agg(F.coalesce(F.max("_loaded_at"), F.lit(MARK).cast("timestamp_ntz"))
-                 .alias("last_loaded_at"), F.count(F.lit(1)).alias("rows_in_slice")).select(
-        F.lit("raw_transactions").alias("source_table"), "last_loaded_at", "rows_in_slice")
+    import uuid
+
+    from cardmart.operators.upsert import advance_watermark
+    from cardmart.schemas import TABLES
+    from cardmart.session import checkpoint_root
+    from cardmart.sources.snapshot import SnapshotTable
+    wm = SnapshotTable(spark, f"{checkpoint_root(spark).rstrip('/')}/u10/{uuid.uuid4().hex}", TABLES["etl_watermark"])
+    wm.write(spark.createDataFrame([("raw_transactions", MARK, MARK)], TABLES["etl_watermark"].schema))
+    found = delta(DT.raw_transactions(spark, sf_dir), MARK).agg(
+        F.max("_loaded_at").alias("mark"), F.count(F.lit(1)).alias("n")).first()
+    advance_watermark(wm, "raw_transactions", found["mark"])
+    return wm.read().select("source_table", "last_loaded_at", F.lit(found["n"]).cast("long").alias("rows_in_slice"))
 
 
 @query("s14_seed_anti", with_views("""
@@ -344,17 +352,20 @@ def s14(spark, sf_dir):
 
 # --- data tests --------------------------------------------------------------------------------
 
-def _suite_sql(checks) -> str:
+def _suite_sql(checks, tables=None) -> str:
+    """``tables``: other tables to read in place of some models."""
     parts = []
+    names = tables or {}
     for c in checks:
+        model, parent = names.get(c.model, c.model), names.get(c.to_model, c.to_model)
         if c.kind == "unique":
-            f = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL "
+            f = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {model} WHERE {c.column} IS NOT NULL "
                  f"GROUP BY {c.column} HAVING count(*) > 1))")
         elif c.kind == "not_null":
-            f = f"(SELECT count(*) FROM {c.model} WHERE {c.column} IS NULL)"
+            f = f"(SELECT count(*) FROM {model} WHERE {c.column} IS NULL)"
         else:
-            f = (f"(SELECT count(*) FROM {c.model} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
-                 f"(SELECT 1 FROM {c.to_model} p WHERE p.{c.to_column} = ch.{c.column}))")
+            f = (f"(SELECT count(*) FROM {model} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {parent} p WHERE p.{c.to_column} = ch.{c.column}))")
         parts.append(f"SELECT '{c.name}' AS test_name, '{c.model}' AS model, '{c.column}' AS column_name, "
                      f"'{c.kind}' AS test_kind, CAST({f} AS BIGINT) AS failures")
     body = "\nUNION ALL ".join(parts)
@@ -393,6 +404,36 @@ def q03(spark, sf_dir):
     return Q.run_suite(_models(spark, sf_dir), _REL)
 
 
+_BROKEN_CHECKS = [c for c in Q.LEDGER_CHECKS if c.model in (
+    "raw_transactions", "dim_mcc", "dim_merchant", "fact_payment_ledger")]
+
+
+@query("q04_suite_broken", with_views(f"""
+SELECT * FROM (WITH broken_transactions AS (
+  SELECT CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN NULL ELSE transaction_id END AS transaction_id,
+    CASE WHEN CAST(transaction_id AS BIGINT) % 10 = 0 THEN NULL ELSE card_id END AS card_id, merchant_id
+  FROM raw_transactions),
+broken_mcc AS (
+  SELECT mcc_code FROM dim_mcc WHERE CAST(mcc_code AS INTEGER) % 2 = 0
+  UNION ALL SELECT mcc_code FROM dim_mcc WHERE CAST(mcc_code AS INTEGER) % 4 = 0),
+broken_merchant AS (SELECT merchant_id FROM dim_merchant WHERE CAST(merchant_id AS BIGINT) % 3 <> 0)
+{_suite_sql(_BROKEN_CHECKS, {"raw_transactions": "broken_transactions", "dim_mcc": "broken_mcc",
+                             "dim_merchant": "broken_merchant"})}) y""",
+                                      "raw_transactions", "dim_mcc", "dim_merchant", "dim_card", "dim_currency",
+                                      "fact_payment_ledger"))
+def q04_broken(spark, sf_dir):
+    """The suite over damaged models: NULL keys, parents left out, repeated codes."""
+    m = _models(spark, sf_dir)
+    key, mcc = F.col("transaction_id").cast("long"), F.col("mcc_code").cast("int")
+    tx = m["raw_transactions"].select(F.when(key % 7 != 0, F.col("transaction_id")).alias("transaction_id"),
+                                      F.when(key % 10 != 0, F.col("card_id")).alias("card_id"), "merchant_id")
+    codes = m["dim_mcc"].select("mcc_code")
+    return Q.run_suite({**m, "raw_transactions": tx,
+                        "dim_mcc": codes.where(mcc % 2 == 0).unionByName(codes.where(mcc % 4 == 0)),
+                        "dim_merchant": m["dim_merchant"].where(F.col("merchant_id").cast("long") % 3 != 0)},
+                       _BROKEN_CHECKS)
+
+
 @query("q05_counts_match", with_views("""
 SELECT 'transactions' AS pair, (SELECT count(*) FROM raw_transactions) AS left_rows,
   (SELECT count(*) FROM stg_transactions) AS right_rows,
@@ -470,6 +511,18 @@ def x02(spark, sf_dir):
             .unionByName(only_b.select(F.lit("upsert").alias("side"), "transaction_id")))
 
 
+@query("x02_parity_scale", with_views("""
+SELECT s.side, f.transaction_id FROM fact_payment_ledger f, (VALUES ('rebuild'), ('upsert')) s(side)
+WHERE f.net_amount <> CAST(f.net_amount AS DECIMAL(12,2))""", "fact_payment_ledger"))
+def x02_scale(spark, sf_dir):
+    """The rebuilt fact against the same fact at scale 2: rows with fractions of a cent differ, on both sides."""
+    a = fact(spark, sf_dir)
+    rounded = F.col("net_amount").cast("decimal(12,2)").cast(a.schema["net_amount"].dataType)
+    only_a, only_b = Q.parity(a, a.withColumn("net_amount", rounded), drop=["dw_load_timestamp"])
+    return (only_a.select(F.lit("rebuild").alias("side"), "transaction_id")
+            .unionByName(only_b.select(F.lit("upsert").alias("side"), "transaction_id")))
+
+
 @query("x01_union_all", with_views("""
 SELECT 'card' AS kind, card_id AS id FROM raw_card_master
 UNION ALL SELECT 'merchant', merchant_id FROM raw_merchant_master""",

@@ -13,7 +13,6 @@ load loudly instead of silently becoming NULL).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,56 +91,60 @@ def validation_report(spark: SparkSession, path: str | Sequence[str],
 
     Malformed lines (wrong field count, broken quoting) come from the reader's
     corrupt-record column; values that do not convert to the column's type
-    are found with ``try_cast`` (non-NULL in, NULL out).
+    are found with ``try_cast`` (non-NULL in, NULL out).  The files are read once.
     """
     s = read_strings(spark, path, schema, "PERMISSIVE", multi_line=multi_line)
     # the corrupt-record column may not be read alone: reference the parsed fields too
     raw_line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.col(f.name) for f in schema.fields]))
-    malformed = s.filter(F.col(CORRUPT).isNotNull()).select(
-        "_file", F.lit(None).cast("string").alias("column_name"),
-        raw_line.alias("value"), F.lit("malformed row").alias("reason"))
-    parts = [malformed]
-    ok = s.filter(F.col(CORRUPT).isNull())
+
+    def error(when: Column, column: Column, value: Column, reason: str) -> Column:
+        return F.when(when, F.struct(column.alias("column_name"), value.alias("value"), F.lit(reason).alias("reason")))
+
+    errors = [error(F.col(CORRUPT).isNotNull(), F.lit(None).cast("string"), raw_line, "malformed row")]
     for f in schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            continue
-        bad = ok.filter(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
-        parts.append(bad.select("_file", F.lit(f.name).alias("column_name"),
-                                F.col(f.name).alias("value"),
-                                F.lit(f"not a valid {f.dataType.simpleString()}").alias("reason")))
-    return reduce(DataFrame.unionByName, parts)
+        if not isinstance(f.dataType, T.StringType):
+            bad = F.col(CORRUPT).isNull() & F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            errors.append(error(bad, F.lit(f.name), F.col(f.name), f"not a valid {f.dataType.simpleString()}"))
+    return s.select("_file", F.inline(F.filter(F.array(*errors), lambda e: e.isNotNull())))
 
 
 def header_diff(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header vs. declared schema by position: match / renamed / missing / extra,
-    and names present in both but at another position (out of order)."""
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    expected = [f.name for f in schema.fields]
-    h = spark.createDataFrame([(i, n) for i, n in enumerate(header)],
-                              "position int, header_name string")
-    e = spark.createDataFrame([(i, n) for i, n in enumerate(expected)],
-                              "position int, schema_name string")
-    j = h.join(e, "position", "full_outer")
-    in_schema = F.col("header_name").isin(*expected) if expected else F.lit(False)
+    """Header of every file vs. declared schema by position: match / renamed / missing /
+    extra, and names present in both but at another position (out of order)."""
+    expected = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+    # The first line of a file is the first row of its first block.
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"), "value").filter("start = 0")
+    first = lines.groupBy("file_path").agg(F.min_by("value", "row").alias("line"))
+    parts = F.split(F.ltrim(F.col("line"), F.lit("\ufeff")), ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    named = first.select("file_path", F.transform(parts, lambda x: F.trim(F.trim(x), F.lit('"'))).alias("header"),
+                         expected.alias("expected"))
+    last = F.greatest(F.size("header"), F.size("expected")) - 1
+    j = named.select("*", F.explode(F.sequence(F.lit(0), last)).alias("position")).withColumns({
+        "header_name": F.get("header", F.col("position")), "schema_name": F.get("expected", F.col("position"))})
     status = (F.when(F.col("header_name") == F.col("schema_name"), "match")
               .when(F.col("header_name").isNull(), "missing")
               .when(F.col("schema_name").isNull(), "extra")
-              .when(in_schema, "out_of_order")
+              .when(F.array_contains("expected", F.col("header_name")), "out_of_order")
               .otherwise("renamed"))
-    return j.select("position", "header_name", "schema_name", status.alias("status")) \
-        .orderBy("position")
+    return j.select("file_path", "position", "header_name", "schema_name", status.alias("status")) \
+        .orderBy("file_path", "position")
 
 
 def list_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Files under a landing path with size, modification time and row count."""
+    """Every file under a landing path with size, modification time and row count (0 if it holds
+    a header only).  The listing itself reads no file contents; the counts read the rows."""
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(_string_schema(schema))
-    df = reader.csv(path)
-    return (df.groupBy(F.col("_metadata.file_path").alias("file_path"),
-                       F.col("_metadata.file_size").alias("file_size"),
-                       F.col("_metadata.file_modification_time").alias("modified_at"))
-            .agg(F.count(F.lit(1)).alias("rows")).orderBy("file_path"))
+    counts = (reader.csv(path).groupBy(F.col("_metadata.file_path").alias("file_path"))
+              .agg(F.count(F.lit(1)).alias("rows")))
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("modified_at"))
+    return (files.join(counts, "file_path", "left")
+            .withColumn("rows", F.coalesce("rows", F.lit(0).cast("long"))).orderBy("file_path"))
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None,

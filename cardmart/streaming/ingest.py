@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardmart.operators.latest import latest_per_key
-from cardmart.operators.upsert import BROADCAST_KEY_ROWS, upsert
+from cardmart.operators.upsert import upsert
 from cardmart.session import checkpoint_root
 from cardmart.sources.snapshot import SnapshotTable
 
@@ -55,22 +55,18 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, tar
 
 
 def merge_latest(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-                 rank: Sequence[Column], source_rows: int | None = None,
-                 broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
+                 rank: Sequence[Column]) -> DataFrame:
     """Keep, per key, the row with the larger ranking tuple of ``target`` and ``source``.
 
     ``rank`` is the total order of W01 written ascending-is-worse, e.g.
-    ``[ts_is_null, ts, id]``.  With few source keys (checked by count) the
-    stored rows are split by a broadcast of those keys: untouched rows pass
-    through without a shuffle and only the matched ones are re-ranked with
-    the batch.  Otherwise the union of both sides is ranked once per key.
+    ``[ts_is_null, ts, id]``.  Stored rows without a key in the batch pass
+    through; only the others are ranked again with it.  No hint: AQE broadcasts
+    the batch's keys when their measured bytes allow it, and then untouched rows
+    are not shuffled.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [c.desc() for c in rank]
-    n = source_rows if source_rows is not None else source.select(*keys).count()
-    if n > broadcast_rows:
-        return latest_per_key(target.unionByName(source), keys, order)
-    src_keys = F.broadcast(source.select(*keys))  # size checked above
+    src_keys = source.select(*keys).distinct()
     kept = target.join(src_keys, keys, "left_anti")
     matched = target.join(src_keys, keys, "left_semi")
     return kept.unionByName(latest_per_key(matched.unionByName(source), keys, order))

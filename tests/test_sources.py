@@ -78,6 +78,22 @@ def test_swapped_header_is_rejected_and_diffed(spark, scratch):
     assert diff[1] == "out_of_order" and diff[2] == "out_of_order" and diff[0] == "match"
 
 
+def test_every_file_is_diffed_and_listed(spark, scratch):
+    cols = HEADER.split(",")
+    swapped = [cols[0], cols[2], cols[1], *cols[3:]]
+    _write(f"{scratch}/many/a.csv", GOOD)
+    _write(f"{scratch}/many/b.csv", [",".join(swapped)])
+    diff = {(r.file_path[-5:], r.position): r.status
+            for r in L.header_diff(spark, f"{scratch}/many", RAW_TRANSACTIONS).collect()}
+    assert len(diff) == 2 * len(cols)
+    assert diff["a.csv", 1] == diff["b.csv", 0] == "match"
+    assert diff["b.csv", 1] == diff["b.csv", 2] == "out_of_order"
+    _write(f"{scratch}/empty/a.csv", GOOD)
+    _write(f"{scratch}/empty/b.csv", GOOD[:1])
+    files = L.list_files(spark, f"{scratch}/empty", RAW_TRANSACTIONS).collect()
+    assert [(f.file_path[-5:], f.rows) for f in files] == [("a.csv", 2), ("b.csv", 0)]
+
+
 def test_listing_and_land(spark, scratch):
     _write(f"{scratch}/ls/a.csv", GOOD)
     files = L.list_files(spark, f"{scratch}/ls", RAW_TRANSACTIONS).collect()
