@@ -112,7 +112,7 @@ def test_document_near_duplicates_match_brute_force(spark):
 
 def test_similarity_search_matches_brute_force(spark):
     d = _memos(spark)
-    q = "the customer never received the item they ordered"
+    from cardmart.plans.queries_vectors import PHRASE as q
     emb = d.select("dispute_id", V.embed("memo_text").alias("e"),
                    V.embed(V.F.lit(q)).alias("qe")).collect()
 

@@ -159,3 +159,14 @@ def test_mllib_classifier_after_an_observation(spark):
     rows = {r.task: r for r in QUERIES["t08_mllib_toxic"](spark, SF_ORACLE).collect()}
     assert set(rows) == {"mllib_logreg", "lexicon_rule"}
     assert rows["mllib_logreg"].n == rows["lexicon_rule"].n > 0
+
+
+def test_native_embedding_equals_the_column_and_takes_string_ids(spark):
+    t = spark.createDataFrame([("D1", "the card was stolen"), ("D2", None), ("D3", "123 !"),
+                               ("D4", "Card the STOLEN was"), ("D5", "weekly invoice for water")], "id string, t string")
+    native = {r.id: r.vec for r in V.embed_frame(t, "id", "t", dim=64).collect()}
+    column = {r.id: r.e for r in t.select("id", V.embed("t", dim=64).alias("e")).collect()}
+    assert native == column and native["D2"] is None and set(native["D3"]) == {0.0}
+    assert native["D1"] == V.embed_text("the card was stolen", 64)
+    pairs = V.near_duplicate_pairs(V.embed_frame(t, "id", "t", dim=64), "id", "vec", 0.9).collect()
+    assert [(p.id_a, p.id_b, p.sim) for p in pairs] == [("D1", "D4", 1.0)]
