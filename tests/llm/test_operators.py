@@ -298,6 +298,41 @@ def test_shards_are_even_and_keep_equal_texts_together(sf, make_docs, odd_rows,
     assert sharding.shard_documents(no_docs).count() == 0
 
 
+def test_every_group_that_fits_a_shard_is_whole(make_docs):
+    def shards_of(rows):
+        sizes, found = Counter(), defaultdict(set)
+        for r in rows_of(sharding.shard_documents(make_docs(rows))):
+            sizes[r["shard"]] += r["size"]
+            found[r["text_crc32"]].add(r["shard"])
+        mean = sum(sizes.values()) / sharding.SHARDS
+        assert len(sizes) == sharding.SHARDS and max(sizes.values()) < 1.02 * mean and min(sizes.values()) > 0.98 * mean
+        return {t: len(x) for t, x in found.items()}
+
+    # 4,000 rows of equal size: groups of 0.3, 0.7 and 1 shard, 200 pairs, 50 groups of 6, the rest unlinked.
+    texts = ["a" * 50] * 150 + ["b" * 50] * 350 + ["c" * 50] * 500
+    texts += [f"pair {i:045d}" for i in range(200)] * 2 + [f"six  {i:045d}" for i in range(50)] * 6
+    texts += [f"lone {i:045d}" for i in range(4000 - len(texts))]
+    assert set(shards_of(list(enumerate(texts))).values()) == {1}
+    # All linked: nothing unlinked can make room.
+    texts = ["a" * 50] * 300 + ["b" * 50] * 300 + [f"five {i:045d}" for i in range(680)] * 5
+    assert set(shards_of(list(enumerate(texts))).values()) == {1}
+    # A group of 1.5 shards is the only one that is split.
+    texts = ["a" * 50] * 750 + [f"pair {i:045d}" for i in range(1625)] * 2
+    got = shards_of(list(enumerate(texts)))
+    assert got.pop(zlib.crc32(b"a" * 50)) > 1 and set(got.values()) == {1}
+
+
+def test_labels_end_when_no_move_is_left(spark):
+    star = [(f"n{i}", f"h{i % 40}") for i in range(4000)]
+    names = sorted({x for p in star for x in p})
+    nodes = spark.createDataFrame([(x, 1, zlib.crc32(x.encode()) % 8) for x in names], "node string, size long, shard int")
+    loads = Counter(zlib.crc32(x.encode()) % 8 for x in names)
+    quotas = sharding.Quotas([loads[s] + 500 for s in range(8)], [(s, k, 5) for s in range(8) for k in range(100)], 0.05)
+    shard = {r["node"]: r["shard"] for r in sharding.propagate(nodes, spark.createDataFrame(star, "a string, b string"), 8, quotas).collect()}
+    assert all(shard[a] == shard[b] for a, b in star)
+    assert max(quotas.loads) <= quotas.capacity and sum(quotas.loads) == len(names) + 4000
+
+
 # ------------------------------------------------------------ 8
 
 def brute_segments(scores):
