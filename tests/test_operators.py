@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,30 @@ def test_native_embedding_equals_the_column_and_takes_string_ids(spark):
     assert native["D1"] == V.embed_text("the card was stolen", 64)
     pairs = V.near_duplicate_pairs(V.embed_frame(t, "id", "t", dim=64), "id", "vec", 0.9).collect()
     assert [(p.id_a, p.id_b, p.sim) for p in pairs] == [("D1", "D4", 1.0)]
+
+
+def test_benchmark_search_covers_every_item(spark):
+    from cardmart.plans.catalog import QUERIES, load_all
+    load_all()
+    got = QUERIES["v04_benchmark_search_all"](spark, SF_SMOKE).collect()
+    read = lambda name, key: {r[key]: np.array(V.embed_text(r["text"]), dtype=np.float64)
+                              for r in spark.read.parquet(f"{SF_SMOKE}/{name}.parquet").collect()}
+    docs, items = read("documents", "doc_id"), read("benchmark", "item_id")
+    assert {r.item_id for r in got} == set(items) and len(got) == 10 * len(items)
+    for i, q in items.items():
+        sims = {d: q @ v / np.linalg.norm(q) / np.linalg.norm(v) for d, v in docs.items()}
+        found = {r.doc_id: r.cosine_sim for r in got if r.item_id == i}
+        assert all(abs(sims[d] - s) < 0.0006 for d, s in found.items())
+        assert min(found.values()) >= max(s for d, s in sims.items() if d not in found) - 0.0006
+
+
+def test_top_k_of_each_query_breaks_ties_by_id_and_puts_nulls_last(spark):
+    rows = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(30)] + [(40, [0.0, 1.0]), (41, [0.0, 0.0]), (42, None)],
+                                 "id long, v array<float>").repartition(4)
+    queries = spark.createDataFrame([("x", [2.0, 0.0]), ("y", [0.0, 3.0]), ("none", None)], "q string, v array<float>")
+    for block in (1, 1000):
+        got = {}
+        for r in V.top_k_each(rows, "id", "v", queries, "q", "v", 3, block=block).collect():
+            got.setdefault(r.q, []).append((r.id, r.cosine_sim))
+        assert {q: sorted(x) for q, x in got.items()} == {
+            "x": [(0, 1.0), (1, 1.0), (2, 1.0)], "y": [(0, 0.0), (1, 0.0), (40, 1.0)], "none": [(0, None), (1, None), (2, None)]}
