@@ -7,8 +7,10 @@ return the columns of their input, rows unchanged.
 * ``quality``: documents that the rules of operator 2 reject go.
 * ``toxicity``: documents that score ``THRESHOLD`` or more go; the model is fitted
   on the labelled documents among the stage's input.
-* ``near_dedup``: of each group of near-duplicates the document with the smallest
-  id stays.  Rows without an id stay.
+* ``near_dedup``: of each group of near-duplicates by the measure of operator 9
+  (80% of the shingles of four words) the document with the smallest id stays.  Of exact copies that share an id
+  one row stays, and so of exact copies without one, unless a row with an id has
+  their text.  Other rows without an id stay, and so do null texts.
 * ``mixing``: every source keeps the token-prefix of its first seeded epoch that
   its share of the budget (90% of the tokens that are left) allows; no document is
   repeated.
@@ -22,7 +24,7 @@ the stages against brute-force versions.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardmart.llm import mixing, neardup, packing, quality, toxicity
 from cardmart.llm.common import Scratch, table
@@ -44,7 +46,24 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(docs)
     dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("__cm_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("__cm_dropped"), "left_anti").select(*docs.columns)
+    return one_of_copies(docs).join(dropped, F.col("doc_id") == F.col("__cm_dropped"), "left_anti").select(*docs.columns)
+
+
+def one_of_copies(docs: DataFrame) -> DataFrame:
+    """One row of each id and text; without an id, of each text that no row with an id has.  Null texts stay."""
+    text = F.sha2(F.col("text").cast("binary"), 256)
+    keys = Scratch(docs.sparkSession, "copies").cut(docs.where("text is not null").groupBy(
+        F.col("doc_id").alias("__cm_id"), text.alias("__cm_text")).agg(F.count(F.lit(1)).alias("__cm_n")), "keys")
+    named = keys.where("__cm_id is not null").select(F.col("__cm_text").alias("__cm_named")).distinct()
+    marks = (keys.where("__cm_id is null or __cm_n > 1").join(
+        named, F.col("__cm_id").isNull() & (F.col("__cm_text") == F.col("__cm_named")), "left")
+        .where("__cm_n > 1 or __cm_named is not null").drop("__cm_n"))
+    same = F.col("doc_id").eqNullSafe(F.col("__cm_id")) & (text == F.col("__cm_text"))
+    again = docs.join(marks.where("__cm_named is null"), same)
+    # The first row alone is kept before the exchange, so a large group is no large partition.
+    order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    first = again.withColumn("__cm_row", F.row_number().over(Window.partitionBy("__cm_id", "__cm_text").orderBy(order)))
+    return docs.join(marks, same, "left_anti").unionByName(first.where("__cm_row = 1").select(*docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

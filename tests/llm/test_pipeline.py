@@ -32,3 +32,14 @@ def test_empty_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_near_dedup_keeps_one_row_of_exact_copies(spark):
+    words = [f"w{i}" for i in range(300)]
+    close = [f"y{i}" if i in (100, 200) else w for i, w in enumerate(words)]
+    other, lone = (" ".join(f"{p}{i}" for i in range(50)) for p in "pq")
+    rows = [(1, " ".join(words)), (3, " ".join(close)), (4, other), (4, other), (4, other),
+            (None, other), (None, lone), (None, lone), (None, " ".join(close)), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup_stage(spark, docs, SF).collect()), key=str)
+    assert got == sorted([rows[0], rows[2], (None, lone), (None, None), (None, None)], key=str)
