@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardmart.llm import fingerprint, kneser_ney, mixing, neardup, packing, quality, sharding, toxicity, urlfilter, warc
+from cardmart.llm import (
+    bitplanes, fingerprint, kneser_ney, merkle, mixing, neardup, packing, quality, rlz, sharding, toxicity, urlfilter, warc)
 from cardmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,3 +252,103 @@ def url_sql() -> str:
 @query("op10_urlfilter", url_sql())
 def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+# ---------------------------------------------------------------- 11: centroid clustering
+
+def clustering_sql() -> str:
+    """The rounds one after the other; integers stay exact in doubles at this size."""
+    kept = f"""
+    x AS MATERIALIZED (SELECT vec_id, [floor({bitplanes.SCALE} * CAST(c AS DOUBLE)) FOR c IN embedding] AS v,
+          sha256('{bitplanes.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS place FROM embeddings
+          WHERE len(embedding) = {bitplanes.DIM} AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+    c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY place) - 1 AS INTEGER) AS cluster, v FROM x ORDER BY place LIMIT {bitplanes.K})"""
+    near = """
+    a{r} AS MATERIALIZED (SELECT x.vec_id, any_value(x.v) AS v, arg_min(c.cluster, list_dot_product(x.v, x.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(x.v, c.v) + c.cluster / 1000.0) AS cluster,
+          min(list_dot_product(x.v, x.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(x.v, c.v)) AS distance
+          FROM x, c{r} c GROUP BY x.vec_id)"""
+    moved = """
+    m{r} AS (SELECT cluster, p, floor(sum(u) / count(*)) AS u FROM (
+             SELECT cluster, unnest(v) AS u, generate_subscripts(v, 1) AS p FROM a{r}) GROUP BY cluster, p),
+    n{r} AS (SELECT cluster, list(u ORDER BY p) AS v FROM m{r} GROUP BY cluster),
+    c{s} AS MATERIALIZED (SELECT c.cluster, coalesce(n.v, c.v) AS v FROM c{r} c LEFT JOIN n{r} n ON n.cluster = c.cluster)"""
+    rounds = "".join("," + near.format(r=r) + "," + moved.format(r=r, s=r + 1) for r in range(bitplanes.ROUNDS))
+    last = bitplanes.ROUNDS
+    return f"""WITH {kept}{rounds},{near.format(r=last)}
+    SELECT a.vec_id, a.cluster, CAST(a.distance AS BIGINT) AS distance,
+      CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+      CAST(sum(a.distance) OVER () AS BIGINT) AS inertia,
+      sha256(array_to_string([CAST(u AS BIGINT) FOR u IN c.v], ',')) AS centroid_sha256
+    FROM a{last} a JOIN c{last} c ON c.cluster = a.cluster"""
+
+
+@query("op11_bitplanes", clustering_sql())
+def op11_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# ---------------------------------------------------------------- 12: repeated passages
+
+@query("op12_rlz", rf"""
+    WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+    s AS (SELECT doc_id, unnest(range(1, len(w) - {rlz.WINDOW - 2})) AS s, w FROM d),
+    h AS (SELECT doc_id, s, md5(array_to_string(w[s:s + {rlz.WINDOW - 1}], ' ')) AS h FROM s),
+    later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS n FROM h) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + {rlz.WINDOW})) AS p FROM later),
+    left_over AS (SELECT d.doc_id, u.p, w[u.p] AS word FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p) u
+                  ANTI JOIN gone g ON g.doc_id = d.doc_id AND g.p = u.p),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM left_over GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+      sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id""")
+def op12_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- 13: Merkle manifest
+
+def manifest_sql(leaf_levels: int = 7, lang_levels: int = 3) -> str:
+    """Level by level, up to 8**7 leaves a language and 8**3 languages."""
+    part = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256({' || '.join(part(text if c == 'text' else c) for c in merkle.FIELDS)})"
+    low = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    ctes = [f"""
+    crc AS MATERIALIZED (SELECT [list_reduce([CAST(i AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, o: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) FOR i IN range(256)] AS t),
+    k AS (SELECT doc_id, coalesce('=' || lang, '-') AS tree, {leaf('text')} AS leaf, {leaf(low)} AS low,
+          xor(list_reduce(list_concat([4294967295::UBIGINT], [CAST(ascii(b) AS UBIGINT) FOR b IN string_split(coalesce(CAST(doc_id AS VARCHAR), ''), '')]),
+              lambda c, b: xor(c // 256, crc.t[CAST(xor(c % 256, b) + 1 AS BIGINT)])), 4294967295::UBIGINT) % 3 = 0 AS tampered FROM documents, crc),
+    l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+          count(*) OVER (PARTITION BY tree) AS n FROM k),
+    a0 AS (SELECT tree, idx, n, leaf AS h FROM l)"""]
+
+    def up(p: str, levels: int) -> str:
+        return "".join(f""",
+    {p}r{t} AS MATERIALIZED (SELECT tree, idx // 8 AS idx, any_value(n) AS n, string_agg(h, '' ORDER BY idx) AS run FROM {p}{t} WHERE n > 1 GROUP BY 1, 2),
+    {p}{t + 1} AS MATERIALIZED (SELECT tree, idx, (n + 7) // 8 AS n, sha256(run) AS h FROM {p}r{t} UNION ALL SELECT * FROM {p}{t} WHERE n = 1)"""
+                       for t in range(levels))
+
+    ctes.append(up("a", leaf_levels))
+    ctes.append(f""",
+    subroots AS MATERIALIZED (SELECT tree AS lang_tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS idx, count(*) OVER () AS n FROM a{leaf_levels}),
+    b0 AS (SELECT '' AS tree, idx, n, subroot AS h FROM subroots)""")
+    ctes.append(up("b", lang_levels))
+    before, prefix = "l JOIN subroots s ON s.lang_tree = l.tree", "p0 AS (SELECT l.doc_id, l.tree, l.idx, s.idx AS at, l.leaf, s.subroot, "         "CASE WHEN tampered THEN low ELSE leaf END AS f, '' AS proof FROM"
+    ctes.append(f", {prefix} {before})")
+    step = 0
+    for p, levels, idx, on in (("a", leaf_levels, "p.idx", "r.tree = p.tree AND "), ("b", lang_levels, "p.at", "")):
+        for t in range(levels):
+            at = f"({idx} // {8 ** t}) % 8"
+            left, right = f"substr(run, 1, CAST(64 * ({at}) AS BIGINT))", f"substr(run, CAST(64 * ({at}) + 65 AS BIGINT))"
+            ctes.append(f""",
+    p{step + 1} AS (SELECT p.* REPLACE (CASE WHEN run IS NULL THEN f ELSE sha256({left} || f || {right}) END AS f,
+          CASE WHEN run IS NULL THEN proof ELSE proof || {left} || {right} END AS proof)
+          FROM p{step} p LEFT JOIN {p}r{t} r ON {on}r.idx = {idx} // {8 ** (t + 1)})""")
+            step += 1
+    return "WITH " + "".join(ctes) + f"""
+    SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = root.h AS verified
+    FROM p{step}, (SELECT h FROM b{lang_levels}) root"""
+
+
+@query("op13_merkle", manifest_sql())
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("tampered")
