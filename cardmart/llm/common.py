@@ -68,6 +68,16 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def plain(docs: DataFrame, operator, keep: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
+    """``operator`` over ``docs``, in which columns not in ``keep`` have names that clash with nothing meanwhile.
+
+    The operator returns the columns of its input, in their order, and may add some.
+    """
+    names = docs.columns
+    out = operator(docs.toDF(*[c if c in keep else f"extra_{k}" for k, c in enumerate(names)]))
+    return out.toDF(*names, *out.columns[len(names):])
+
+
 # ---------------------------------------------------------------- files in the shared folder
 
 def _filesystem(uri: str):

@@ -16,11 +16,11 @@ bucket in which the budget ends is numbered row by row.
 
 All amounts are integers; a share that is not whole is rounded down.
 
-Rows: null or empty text has no tokens; such a document is taken with every
-epoch that is begun.  A null in a level is a node of its own.  Documents of
+Rows: null or empty text has no tokens; in an epoch that is begun such a document is
+taken if its place is within the prefix.  A null in a level is a node of its own.  Documents of
 equal key and text share a place in the order and are numbered as they tie:
 all of them are taken or none.  Children without a weight have ``default_weight``.
-Extra columns are kept.  No leaves: empty result.
+Extra columns stay unread and are not returned.  No leaves: empty result.
 """
 
 from __future__ import annotations

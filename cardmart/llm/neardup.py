@@ -242,7 +242,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     sets = scratch.cut(shingle_sets(texts, shingle).join(
         base.where("set_hash is not null").select("doc_id").distinct(), "doc_id", "left_semi"), "sets")
     links = scratch.cut(verified(stars, sets, percent), "links")
+    scratch.drop("stars")
     found = components(links, scratch, "first")
+    scratch.drop("links")
 
     def unsettled(found: DataFrame, name: str) -> DataFrame:
         """Members (with their component) of buckets that hold more than one component."""
@@ -258,12 +260,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     open_sets = (unsettled(found, "open").select(F.col("rep").alias("doc_id"), "label", "n", "bits").distinct()
                  .join(sets, "doc_id"))
     tokens = scratch.cut(open_sets.select("doc_id", F.explode("shingles").alias("s")), "open-shingles")
+    scratch.drop("members")
     spread = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "s"))
     first = (tokens.join(spread, "s").withColumn("place", place)
              .join(open_sets.select("doc_id", "label", "n", "bits"), "doc_id")
              .where((F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)))
     first = scratch.cut(first, "open-prefixes")
+    scratch.drop("open-shingles")
+    scratch.drop("open")
     x = first.select("s", F.col("doc_id").alias("a"), F.col("label").alias("a_label"),
                      F.col("n").alias("a_n"), F.col("bits").alias("a_bits"), F.col("place").alias("a_place"))
     y = first.select("s", F.col("doc_id").alias("b"), F.col("label").alias("b_label"),
@@ -274,7 +279,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     more = (x.join(y, (x["s"] == y["s"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
                    & enough & _plausible("a_", "b_", percent)).select("a", "b").distinct())
     more = scratch.cut(more, "open-pairs")
+    scratch.drop("open-prefixes")
     more = scratch.cut(verified(more, sets, percent), "more")
+    scratch.drop("sets")
     # The same id under several texts ties its classes together.
     again = (known.select("doc_id", "set_hash", "set_hash2").distinct()
              .join(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "doc_id")

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardmart.llm.common import WORD, Scratch
+from cardmart.llm.common import WORD, Scratch, plain
 
 QUALITY = "__cm_quality"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -150,5 +150,9 @@ def judge_documents(docs: DataFrame, scratch: Scratch | None = None, **limits) -
     The counts are written once and read twice: for the references and for the verdict.
     """
     scratch = scratch or Scratch(docs.sparkSession, "quality")
-    features = scratch.cut(with_features(docs), "features")
-    return with_verdict(features, references(features), **limits)
+
+    def judged(named: DataFrame) -> DataFrame:
+        features = scratch.cut(with_features(named), "features")
+        return with_verdict(features, references(features), **limits)
+
+    return plain(docs, judged)
