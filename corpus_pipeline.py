@@ -16,7 +16,13 @@ return the columns of their input, rows unchanged.
   repeated.
 * ``packing``: the pieces of all documents that are left.
 
-Empty input gives empty output.  Extra columns go along with their rows.
+Rows, stage by stage.  Null and empty texts, and texts of white space, fail the base rules of ``quality`` and
+go there; a stage that is given them by itself scores them 0 (``toxicity``), links them with
+nothing (``near_dedup``), gives them no tokens and lets their place in the epoch decide (``mixing``) and packs them as
+one end token (``packing``).  Null languages have no reference in ``quality`` and are a leaf of their own in ``mixing``, as
+null sources are; null ids are never linked.  Equal scores and places are treated alike; repeated rows are one
+in ``near_dedup`` and judged alike elsewhere.  Texts are read whole, however long.  Empty input gives empty output.  Extra
+columns go along with their rows, whatever their names.
 SQL has no tokenizer and no segment search, so there is no oracle; the tests hold
 the stages against brute-force versions.
 """
@@ -27,45 +33,63 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardmart.llm import mixing, neardup, packing, quality, toxicity
-from cardmart.llm.common import Scratch, table
+from cardmart.llm.common import Scratch, plain, table
 
 ORACLE_SQL = None
 SCORE = "__cm_toxicity"
 
 
+def named(stage):
+    """A stage that meets its extra columns under names that clash with nothing."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return plain(docs, lambda rows: stage(spark, rows, sf_dir))
+    return run
+
+
+@named
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = quality.judge_documents(docs)
     return judged.where(F.col(quality.QUALITY)["kept"]).select(*docs.columns)
 
 
+@named
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.with_score(docs, model, SCORE).where(F.col(SCORE) < toxicity.THRESHOLD).select(*docs.columns)
 
 
+@named
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What goes is decided from ids and hashes of texts; the texts go through one anti join.
+
+    The key of a text is its md5, that of a null text is empty.  Keys whose rows all go are those of
+    dropped ids, and those without an id whose text a row with an id has.  Of other keys
+    with several rows one row is kept; null texts stay.
+    """
+    scratch = Scratch(spark, "copies")
+    key = F.coalesce(F.md5("text"), F.lit(""))
     found = neardup.near_duplicates(docs)
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("__cm_dropped")).distinct()
-    return one_of_copies(docs).join(dropped, F.col("doc_id") == F.col("__cm_dropped"), "left_anti").select(*docs.columns)
-
-
-def one_of_copies(docs: DataFrame) -> DataFrame:
-    """One row of each id and text; without an id, of each text that no row with an id has.  Null texts stay."""
-    text = F.sha2(F.col("text").cast("binary"), 256)
-    keys = Scratch(docs.sparkSession, "copies").cut(docs.where("text is not null").groupBy(
-        F.col("doc_id").alias("__cm_id"), text.alias("__cm_text")).agg(F.count(F.lit(1)).alias("__cm_n")), "keys")
-    named = keys.where("__cm_id is not null").select(F.col("__cm_text").alias("__cm_named")).distinct()
-    marks = (keys.where("__cm_id is null or __cm_n > 1").join(
-        named, F.col("__cm_id").isNull() & (F.col("__cm_text") == F.col("__cm_named")), "left")
-        .where("__cm_n > 1 or __cm_named is not null").drop("__cm_n"))
-    same = F.col("doc_id").eqNullSafe(F.col("__cm_id")) & (text == F.col("__cm_text"))
-    again = docs.join(marks.where("__cm_named is null"), same)
-    # The first row alone is kept before the exchange, so a large group is no large partition.
+    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    keys = scratch.cut(docs.groupBy(F.col("doc_id").alias("gone_id"), key.alias("gone_text"))
+                       .agg((F.count(F.lit(1)) > 1).alias("several")), "keys")
+    texts = keys.where("gone_id is not null and gone_text <> ''").select("gone_text").distinct()
+    whole = (keys.join(dropped, "gone_id", "left_semi").select("gone_id", "gone_text").unionByName(
+        keys.where("gone_id is null").join(texts, "gone_text", "left_semi").select("gone_id", "gone_text")))
+    whole = scratch.cut(whole, "whole")
+    same = (F.col("a.gone_id").eqNullSafe(F.col("b.gone_id"))) & (F.col("a.gone_text") == F.col("b.gone_text"))
+    several = scratch.cut(keys.where("several and gone_text <> ''").alias("a").join(whole.alias("b"), same, "left_anti")
+                          .select("gone_id", "gone_text"), "several")
+    scratch.drop("keys")
+
+    here = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (key == F.col("gone_text"))
+    # Of equal rows the first is kept before the exchange, so a large group is no large partition.
     order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
-    first = again.withColumn("__cm_row", F.row_number().over(Window.partitionBy("__cm_id", "__cm_text").orderBy(order)))
-    return docs.join(marks, same, "left_anti").unionByName(first.where("__cm_row = 1").select(*docs.columns))
+    place = F.row_number().over(Window.partitionBy("gone_id", "gone_text").orderBy(order))
+    one = docs.join(several, here).withColumn("gone_place", place).where("gone_place = 1").select(*docs.columns)
+    return docs.join(whole.unionByName(several), here, "left_anti").unionByName(one)
 
 
+@named
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mixing.mix(docs, budget_share=0.9, max_epochs=1).where("epochs > 0").select(
         F.col("doc_id").alias("__cm_id"), F.col("text_md5").alias("__cm_md5")).distinct()
