@@ -151,7 +151,7 @@ def _upsert_locked(table: SnapshotTable, source: DataFrame, key: list[str],
     target = table.read()
     merged = merge_df(target, source, key, update_cols=update_cols, strategy=strategy,
                       inserted_at="dw_inserted_at" if "dw_inserted_at" in target.columns else None,
-                      updated_at=_updated_col(target.columns))
+                      updated_at=updated_column(target.columns))
     obs = Observation(f"merge_{table.spec.name}")
     observed = merged.observe(
         obs,
@@ -163,7 +163,7 @@ def _upsert_locked(table: SnapshotTable, source: DataFrame, key: list[str],
     return MergeResult(table.spec.name, int(m["inserted"]), int(m["updated"]), version)
 
 
-def _updated_col(cols: Sequence[str]) -> str | None:
+def updated_column(cols: Sequence[str]) -> str | None:
     for c in ("dw_updated_at", "dw_load_timestamp", "updated_at"):
         if c in cols:
             return c

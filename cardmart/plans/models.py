@@ -122,7 +122,12 @@ def fact_payment_ledger(enriched: DataFrame, stg_gw: DataFrame, disputes: DataFr
         settled_only=True)
     joined = enriched.join(final, "transaction_id", "inner")
     flagged = existence_flag(joined, disputes, "transaction_id", "is_disputed")
-    out = flagged.select(
+    return _stamp(ledger_rows(flagged, net_scale2), with_load_time, "dw_load_timestamp")
+
+
+def ledger_rows(joined: DataFrame, net_scale2: bool = False) -> DataFrame:
+    """The columns of the fact from transactions that carry their amounts, fees and dispute flag."""
+    return joined.select(
         surrogate_key("transaction_id").alias("payment_ledger_key"),
         "transaction_id",
         F.col("transaction_timestamp").alias("transaction_ts"),
@@ -134,7 +139,6 @@ def fact_payment_ledger(enriched: DataFrame, stg_gw: DataFrame, disputes: DataFr
         .alias("net_amount"),
         "is_disputed",
     )
-    return _stamp(out, with_load_time, "dw_load_timestamp")
 
 
 def build_all(raw: dict[str, DataFrame], with_load_time: bool = False) -> dict[str, DataFrame]:

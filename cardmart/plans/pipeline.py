@@ -20,11 +20,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmart.functions.keys import load_time, net_amount, signed_gross, surrogate_key
-from cardmart.operators.joins import existence_flag
+from cardmart.functions.keys import load_time
 from cardmart.operators.upsert import MergeResult, load_incremental, reset_watermarks
 from cardmart.operators.upsert import seed_watermarks, upsert
 from cardmart.plans import models as M
+from cardmart.plans.loads import fact_of_stored
 from cardmart.schemas import TABLES
 from cardmart.sources.snapshot import SnapshotTable, replace_table
 
@@ -46,24 +46,6 @@ GRAPH: dict[str, tuple[str, ...]] = {
 }
 
 
-def fact_from_intermediates(enriched: DataFrame, settlements: DataFrame, fees: DataFrame, disputes: DataFrame,
-                            net_scale2: bool = True) -> DataFrame:
-    """The fact from the three stored intermediate tables: fees first, then settlements (the
-    grain), then the transaction columns."""
-    amounts = (fees.select("transaction_id", "interchange_fee", "scheme_fee")
-               .join(settlements.select("transaction_id", "settlement_amount"), "transaction_id"))
-    j = amounts.join(enriched.drop("dw_updated_at"), "transaction_id")
-    j = existence_flag(j, disputes, "transaction_id", "is_disputed")
-    return j.select(
-        surrogate_key("transaction_id").alias("payment_ledger_key"), "transaction_id",
-        F.col("transaction_timestamp").alias("transaction_ts"), "card_id", "merchant_id",
-        "mcc_code", "currency_code", "transaction_type", "entry_mode", "auth_status",
-        "is_international", signed_gross("transaction_type", "amount").alias("gross_amount"),
-        "settlement_amount", "interchange_fee", "scheme_fee",
-        net_amount("settlement_amount", "interchange_fee", "scheme_fee", scale2=net_scale2)
-        .alias("net_amount"), "is_disputed", load_time().alias("dw_load_timestamp"))
-
-
 @dataclass
 class StepResult:
     step: str
@@ -136,9 +118,8 @@ class Pipeline:
                 check_duplicates=False, strategy="shuffle"),
             "fact_payment_ledger": lambda: upsert(
                 t["fact_payment_ledger"],
-                fact_from_intermediates(t["int_transactions_enriched"].read(),
-                                        t["int_settlements"].read(), t["int_fees"].read(),
-                                        raw["dispute_memos"]).drop("dw_load_timestamp"),
+                fact_of_stored(t["int_transactions_enriched"].read(), t["int_settlements"].read(),
+                               t["int_fees"].read(), raw["dispute_memos"]),
                 check_duplicates=False, strategy="shuffle"),
         }
 

@@ -306,18 +306,21 @@ SELECT 'raw_transactions' AS source_table,
 FROM raw_transactions WHERE _loaded_at > {MARK_SQL}""", "raw_transactions"))
 def u10(spark, sf_dir):
     """New mark = max load time of the merged slice; unchanged when the slice is empty."""
+    control = _control(spark)
+    control.reset({"raw_transactions": MARK})
+    found = delta(DT.raw_transactions(spark, sf_dir), control.mark("raw_transactions")).agg(
+        F.max("_loaded_at").alias("mark"), F.count(F.lit(1)).alias("n")).first()
+    control.advance("raw_transactions", found["mark"])
+    return control.table.read().select("source_table", "last_loaded_at", F.lit(found["n"]).cast("long").alias("rows_in_slice"))
+
+
+def _control(spark):
+    """A control table of its own below the shared folder."""
     import uuid
 
-    from cardmart.operators.upsert import advance_watermark
-    from cardmart.schemas import TABLES
+    from cardmart.plans.loads import Ledger
     from cardmart.session import checkpoint_root
-    from cardmart.sources.snapshot import SnapshotTable
-    wm = SnapshotTable(spark, f"{checkpoint_root(spark).rstrip('/')}/u10/{uuid.uuid4().hex}", TABLES["etl_watermark"])
-    wm.write(spark.createDataFrame([("raw_transactions", MARK, MARK)], TABLES["etl_watermark"].schema))
-    found = delta(DT.raw_transactions(spark, sf_dir), MARK).agg(
-        F.max("_loaded_at").alias("mark"), F.count(F.lit(1)).alias("n")).first()
-    advance_watermark(wm, "raw_transactions", found["mark"])
-    return wm.read().select("source_table", "last_loaded_at", F.lit(found["n"]).cast("long").alias("rows_in_slice"))
+    return Ledger(spark, f"{checkpoint_root(spark).rstrip('/')}/control/{uuid.uuid4().hex}").control
 
 
 @query("s14_seed_anti", with_views("""
@@ -329,25 +332,13 @@ FROM (VALUES ('raw_transactions'), ('raw_gateway_log')) s(source_table)
 WHERE NOT EXISTS (SELECT 1 FROM (SELECT 'raw_transactions' AS source_table) c
                   WHERE c.source_table = s.source_table)""", "raw_transactions"))
 def s14(spark, sf_dir):
-    """Seed-if-absent against the stored control table (as the pipeline keeps it): the
-    control row is written to a watermark snapshot, then the seed rows whose key is not
-    in it are appended -- an equi anti join on the stored key."""
-    import uuid
-
-    from cardmart.schemas import TABLES
-    from cardmart.session import checkpoint_root
-    from cardmart.sources.snapshot import SnapshotTable
-    ctl_df = DT.raw_transactions(spark, sf_dir).agg(F.max("_loaded_at").alias("last_loaded_at")) \
-        .select(F.lit("raw_transactions").alias("source_table"), "last_loaded_at",
-                F.lit(None).cast("timestamp_ntz").alias("updated_at"))
-    ctl = SnapshotTable(spark, f"{checkpoint_root(spark).rstrip('/')}/s14/{uuid.uuid4().hex}",
-                        TABLES["etl_watermark"])
-    ctl.write(ctl_df)
-    stored = ctl.read().select("source_table", "last_loaded_at")
-    seed = spark.createDataFrame([("raw_transactions",), ("raw_gateway_log",)],
-                                 "source_table string").select(
-        "source_table", F.lit(K.EPOCH).cast("timestamp_ntz").alias("last_loaded_at"))
-    return stored.unionByName(J.seed_if_absent(stored, seed, "source_table"))
+    """Seed-if-absent against the stored control table: it holds the mark of one source, and gets
+    the seed rows whose key it does not hold (an equi anti join on the stored key)."""
+    control = _control(spark)
+    mark = DT.raw_transactions(spark, sf_dir).agg(F.max("_loaded_at")).first()[0]
+    control.advance("raw_transactions", mark)
+    control.seed()
+    return control.table.read().select("source_table", "last_loaded_at")
 
 
 # --- data tests --------------------------------------------------------------------------------

@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardmart.plans import models as M
 from cardmart.plans.catalog import query
 from cardmart.plans.oracle_views import with_views
-from cardmart.schemas import TABLES
+from cardmart.schemas import RAW_GATEWAY_LOG, TABLES, TableSpec
 from cardmart.session import checkpoint_root
 from cardmart.sources import driver_tables as DT
-from cardmart.sources.snapshot import SnapshotTable
-from cardmart.streaming.ingest import current_state, ingest_files, maintain_latest
+from cardmart.sources.bucketed import BucketTable
+from cardmart.streaming.ingest import ingest_files, maintain_latest
+
+#: The table of the latest gateway event of each transaction.
+LATEST = TableSpec("latest_gateway_event", T.StructType([RAW_GATEWAY_LOG[c] for c in (
+    "transaction_id", "gateway_log_id", "settlement_amount", "gateway_timestamp")]), ("transaction_id",))
 
 
 def _scratch(spark) -> str:
@@ -39,7 +43,7 @@ def st1(spark, sf_dir):
     root = _scratch(spark)
     raw = DT.raw_transactions(spark, sf_dir)
     _land_files(raw, f"{root}/landing")
-    target = SnapshotTable(spark, f"{root}/tables", TABLES["stg_transactions"])
+    target = BucketTable(spark, f"{root}/stg_transactions", TABLES["stg_transactions"], 8)
     ingest_files(spark, f"{root}/landing", raw.schema, target, M.stg_transactions,
                  name=f"st1-{root.rsplit('/', 1)[-1]}")
     return target.read().drop("dw_inserted_at", "dw_updated_at")
@@ -52,8 +56,7 @@ def st2(spark, sf_dir):
     root = _scratch(spark)
     gw = DT.raw_gateway_log(spark, sf_dir)
     _land_files(gw, f"{root}/landing")
-    maintain_latest(spark, f"{root}/landing", gw.schema, f"{root}/state", "transaction_id",
-                    "gateway_timestamp", "gateway_log_id", name=f"st2-{root.rsplit('/', 1)[-1]}")
-    state = current_state(spark, f"{root}/state")
-    return state.select("transaction_id", "gateway_log_id", "settlement_amount",
-                        "gateway_timestamp")
+    target = BucketTable(spark, f"{root}/latest", LATEST, 8)
+    maintain_latest(spark, f"{root}/landing", gw.schema, target, "transaction_id", "gateway_timestamp", "gateway_log_id",
+                    name=f"st2-{root.rsplit('/', 1)[-1]}")
+    return target.read()

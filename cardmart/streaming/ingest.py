@@ -1,126 +1,87 @@
 """Structured Streaming flavour of the incremental loads (ST1, ST2).
 
-The batch pipeline keeps a high-water mark in a control table; here the
-streaming file source keeps the set of processed files in its checkpoint, so
-every landed file is merged exactly once:
-
-* ST1 -- ``readStream`` over a landing folder -> ``foreachBatch`` keyed upsert
-  (U01) into a snapshot table, ``trigger(availableNow=True)`` to drain what
-  is there and stop.  A batch that is replayed after a failure merges the
-  same rows again, which an upsert absorbs.
-* ST2 -- the latest event per key, maintained: each micro-batch is reduced to
-  its latest event per key (same window as W01) and merged so that a stored
-  row is only replaced by a *later* ``(ts, id)``.
-
-Checkpoints live under the shared ``spark.checkpoint.dir``.
+The batch loads keep a high-water mark in a control table; here the streaming file
+source keeps the set of processed files in its checkpoint, so every landed file is
+read once:
+
+* ST1 -- ``readStream`` over a landing folder -> ``foreachBatch`` keyed upsert (U01)
+  into a bucketed table, ``trigger(availableNow=True)`` to drain what is there and stop.
+* ST2 -- the latest event per key is a streaming aggregation: Spark's state store holds
+  the largest ``(ts, id)`` of every key, across restarts.  Update mode sends the keys that
+  a batch changed to the table.  The state grows with the keys; a deployment picks
+  its store by ``spark.sql.streaming.stateStore.providerClass``.
+
+A batch that is replayed after a failure upserts the same rows again, which changes
+nothing.  Checkpoints live under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardmart.operators.latest import latest_per_key
-from cardmart.operators.upsert import upsert
+from cardmart.schemas import TableSpec
 from cardmart.session import checkpoint_root
-from cardmart.sources.snapshot import SnapshotTable
+from cardmart.sources.bucketed import BUCKET, BucketTable
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
 
 
-def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, target: SnapshotTable,
-                 transform: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
-                 name: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """ST1: drain ``source_dir`` into ``target`` with one keyed upsert per micro-batch."""
+def _landed(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str, max_files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source_dir)
+    return reader.load(source_dir)
+
+
+def _drained(stream: DataFrame, mode: str, merge: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    (stream.writeStream.outputMode(mode).foreachBatch(merge).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, target: BucketTable,
+                 transform: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
+                 name: str | None = None, max_files_per_trigger: int | None = None) -> None:
+    """ST1: drain ``source_dir`` into ``target`` with one keyed upsert per micro-batch."""
     target.create_if_absent()
 
-    def merge_batch(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001
-        upsert(target, transform(batch))
+    def merge(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001
+        target.upsert(transform(batch))
 
-    q = (stream.writeStream.foreachBatch(merge_batch)
-         .option("checkpointLocation", _checkpoint(spark, name or target.spec.name))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drained(_landed(spark, source_dir, schema, fmt, max_files_per_trigger), "append", merge, _checkpoint(spark, name or target.spec.name))
 
 
-def merge_latest(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-                 rank: Sequence[Column]) -> DataFrame:
-    """Keep, per key, the row with the larger ranking tuple of ``target`` and ``source``.
+def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType, target: BucketTable | str, key: str, ts: str, event_id: str,
+                    name: str, fmt: str = "parquet", max_files_per_trigger: int | None = None, now: Column | None = None) -> None:
+    """ST2: keep each key's latest event (NULL times are latest, then the larger id) in ``target``.
 
-    ``rank`` is the total order of W01 written ascending-is-worse, e.g.
-    ``[ts_is_null, ts, id]``.  Stored rows without a key in the batch pass
-    through; only the others are ranked again with it.  No hint: AQE broadcasts
-    the batch's keys when their measured bytes allow it, and then untouched rows
-    are not shuffled.
+    ``target`` is a table, or the folder of one with all columns of the events.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    order = [c.desc() for c in rank]
-    src_keys = source.select(*keys).distinct()
-    kept = target.join(src_keys, keys, "left_anti")
-    matched = target.join(src_keys, keys, "left_semi")
-    return kept.unionByName(latest_per_key(matched.unionByName(source), keys, order))
-
-
-def maintain_latest(spark: SparkSession, source_dir: str, schema: T.StructType,
-                    state_path: str, key: str, ts: str, event_id: str,
-                    name: str, max_files_per_trigger: int | None = None) -> None:
-    """ST2: fold each micro-batch's latest event per key into a stored table.
-
-    Each epoch writes the new state into the one of two slot folders that is
-    not current, then appends one row (epoch, path) to an append-only commit
-    log; readers take the largest committed epoch.  A replayed epoch that is
-    already committed is skipped, so a batch is applied exactly once, the
-    folder being read is never the one overwritten, and storage stays at two
-    copies of the state.
-    """
-    reader = spark.readStream.schema(schema).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source_dir)
-    rank = [F.col(ts).isNull(), F.col(ts), F.col(event_id)]
-    log = f"{state_path.rstrip('/')}/_commits"
-
-    def fold(batch: DataFrame, epoch_id: int) -> None:
-        committed = _last_commit(spark, state_path)
-        if committed is not None and committed[0] >= epoch_id:
-            return  # replay of an applied batch
-        latest = latest_per_key(batch, key, [c.desc() for c in rank])
-        cur = None if committed is None else spark.read.parquet(committed[1])
-        merged = latest if cur is None else merge_latest(cur, latest, key, rank)
-        slot = "b" if committed is not None and committed[1].endswith("slot=a") else "a"
-        out = f"{state_path.rstrip('/')}/slot={slot}"
-        merged.write.mode("overwrite").parquet(out)
-        spark.createDataFrame([(epoch_id, out)], "epoch long, path string").coalesce(1) \
-            .write.mode("append").parquet(log)
-
-    q = (stream.writeStream.foreachBatch(fold)
-         .option("checkpointLocation", _checkpoint(spark, name))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def _last_commit(spark: SparkSession, state_path: str) -> tuple[int, str] | None:
+    if isinstance(target, str):
+        target = BucketTable(spark, target, TableSpec("latest", schema, (key,)))
+    target.create_if_absent()
+    order = ["__null", ts, event_id]
+    values = [f.name for f in target.spec.schema.fields if f.name in schema.names and f.name not in (key, ts, event_id)]
+    stream = _landed(spark, source_dir, schema, fmt, max_files_per_trigger).withColumn("__null", F.col(ts).isNull())
+    latest = stream.groupBy(key).agg(F.max(F.struct(*order, *values)).alias("latest"))
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001
+        target.upsert(batch.select(key, "latest.*"), now, unique=True)
+
+    _drained(latest, "update", merge, _checkpoint(spark, name))
+
+
+def current_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table in a folder that ``maintain_latest`` fills (None before the first event)."""
     from pyspark.errors import AnalysisException
     try:
-        row = (spark.read.parquet(f"{state_path.rstrip('/')}/_commits")
-               .orderBy(F.col("epoch").desc()).select("epoch", "path").first())
+        return spark.read.parquet(path).drop(BUCKET)
     except AnalysisException:
         return None
-    return None if row is None else (int(row[0]), row[1])
-
-
-def current_state(spark: SparkSession, state_path: str) -> DataFrame | None:
-    """The table as of the last committed epoch (None before the first batch)."""
-    c = _last_commit(spark, state_path)
-    return None if c is None else spark.read.parquet(c[1])
