@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardmart.functions import text as TX, variant as VA
-from cardmart.operators import answers as AN, bayes as NB
+from cardmart.operators import answers as AN, bayes as NB, instruct as IN
 from cardmart.operators.evaluate import accuracy
 from cardmart.plans.catalog import query
 from cardmart.plans.oracle_views import with_views
@@ -208,3 +208,59 @@ def p18_results(spark, sf_dir):
     return rows.join(tone, "dispute_id").select(
         "dispute_id", VA.path("s:categories[0].sentiment::string").alias("overall"), VA.path("c:labels[0]::string").alias("tone"),
         VA.path("a[0]:score::double").alias("best_score"), VA.path("a[1]:score::double").alias("second_score"))
+
+
+# ---------------------------------------------------------------- T09, A13 filters by instruction
+
+INSULTS = "Find texts that insult someone as an idiot or a moron"
+LICENSES = "Keep any text that is licensed, or mentions a license"
+
+
+def _instruction_ctes(name: str, instruction: str) -> str:
+    terms = IN.instruction_terms(instruction)
+    listed = ", ".join(f"'{t}'" for t in terms)
+    return rf"""
+{name}_t AS MATERIALIZED (SELECT w, list_has_any(w, [{listed}]) AS topic FROM sent),
+{name}_n AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE topic) AS DOUBLE) AS nt FROM {name}_t),
+{name}_k AS MATERIALIZED (SELECT word, CAST(count(*) AS DOUBLE) AS k, CAST(count(*) FILTER (WHERE topic) AS DOUBLE) AS b FROM (SELECT topic, unnest(w) AS word FROM {name}_t) GROUP BY word),
+{name}_x AS (SELECT word, CASE WHEN b = n THEN 1.0 ELSE round(ln(b * n / (k * nt)) / -ln(b / n), 4) END AS v FROM {name}_k, {name}_n WHERE b >= 5 AND word NOT IN ({listed})),
+{name}_w AS MATERIALIZED (SELECT word, v FROM (SELECT word, v FROM {name}_x WHERE v >= 0.3 ORDER BY v DESC, word LIMIT 20)
+  UNION ALL SELECT unnest([{listed}]), 1.0),
+{name}_s AS MATERIALIZED (SELECT doc_id, CASE WHEN text IS NOT NULL THEN round(coalesce(s, 0.0), 4) END AS score FROM documents LEFT JOIN (
+  SELECT doc_id, sum(v) AS s FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) JOIN {name}_w USING (word) GROUP BY doc_id) USING (doc_id)),
+{name} AS (SELECT doc_id, score, coalesce(score > (SELECT greatest(0.0, round(avg(score) + 2 * stddev_pop(score), 6)) FROM {name}_s), false) AS keep FROM {name}_s)"""
+
+
+_INSTRUCTION_SQL = rf"""sent AS MATERIALIZED (SELECT list_distinct(regexp_extract_all(lower(s), '[a-z]+')) AS w FROM (
+  SELECT unnest([z FOR z IN regexp_split_to_array(text, '[.!?
+]+') IF regexp_matches(lower(z), '[a-z]+')]) AS s FROM documents)),
+{_instruction_ctes('insult', INSULTS)}, {_instruction_ctes('license', LICENSES)}"""
+
+
+@query("t09_filter_instruction", f"""
+WITH {_INSTRUCTION_SQL}
+SELECT i.doc_id, i.score AS insult_score, i.keep AS insult_keep, l.score AS license_score, l.keep AS license_keep
+FROM insult i JOIN license l USING (doc_id)""")
+def t09_instruction(spark, sf_dir):
+    """Two instructions over all documents; each finds its own words and keeps its own rows."""
+    docs = DT.read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = IN.filter_by_instruction(docs, "text", INSULTS, score="insult_score", flag="insult_keep")
+    return IN.filter_by_instruction(found, "text", LICENSES, score="license_score", flag="license_keep").drop("text")
+
+
+@query("a13_instruction_overlap", f"""
+WITH {_INSTRUCTION_SQL}
+SELECT name AS instruction, CAST(count(*) AS BIGINT) AS labelled, CAST(count(*) FILTER (WHERE keep) AS BIGINT) AS kept,
+  CAST(count(*) FILTER (WHERE keep AND toxic = 1) AS BIGINT) AS kept_toxic, CAST(count(*) FILTER (WHERE toxic = 1) AS BIGINT) AS toxic
+FROM (SELECT 'insult' AS name, doc_id, keep FROM insult UNION ALL SELECT 'license', doc_id, keep FROM license) x JOIN labels USING (doc_id)
+WHERE toxic IS NOT NULL GROUP BY name""")
+def a13_instruction(spark, sf_dir):
+    """How the rows that each instruction keeps line up with the toxicity labels: the first is about them, the second is not."""
+    labels = DT.read(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", "toxic")
+    kept = t09_instruction(spark, sf_dir).join(labels, "doc_id")
+    both = kept.select(F.col("toxic"), F.explode(F.array(
+        F.struct(F.lit("insult").alias("instruction"), F.col("insult_keep").alias("keep")),
+        F.struct(F.lit("license").alias("instruction"), F.col("license_keep").alias("keep")))).alias("x"))
+    toxic, keep = F.col("toxic") == 1, F.col("x.keep")
+    return both.groupBy(F.col("x.instruction").alias("instruction")).agg(
+        F.count(F.lit(1)).alias("labelled"), F.count_if(keep).alias("kept"), F.count_if(keep & toxic).alias("kept_toxic"), F.count_if(toxic).alias("toxic"))

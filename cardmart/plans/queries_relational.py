@@ -22,6 +22,8 @@ from cardmart.sources import driver_tables as DT
 
 # A fixed high-water mark inside the test tables' load-time range.
 MARK = dt.datetime(1997, 6, 1, 2, 30, 0)
+#: Share of all rows from which a merchant is listed in the profile.
+MERCHANT_SHARE = 0.01
 MARK_SQL = "TIMESTAMP '1997-06-01 02:30:00'"
 # Split of the transactions into "already loaded" and "arriving" for the merge query.
 CUT_OLD, CUT_NEW = dt.datetime(1997, 1, 1), dt.datetime(1996, 1, 1)
@@ -485,19 +487,46 @@ def q08(spark, sf_dir):
         F.countDistinct(F.hour("_loaded_at")).alias("load_hours"))
 
 
+_RANK_SQL = "max(amount) FILTER (WHERE rk = greatest(1, CAST(ceil({q} * n) AS BIGINT)))"
+
+
+@query("q08_profile_detail", with_views(f"""
+WITH r AS (SELECT transaction_type, amount, merchant_id, _loaded_at, row_number() OVER (PARTITION BY transaction_type ORDER BY amount) AS rk,
+  count(*) OVER (PARTITION BY transaction_type) AS n FROM raw_transactions WHERE amount IS NOT NULL),
+m AS (SELECT merchant_id, count(*) AS n, sum(count(*)) OVER () AS total FROM raw_transactions WHERE merchant_id IS NOT NULL GROUP BY 1)
+SELECT 'quartile' AS part, transaction_type || ' q' || q AS name, CAST(CASE q WHEN 1 THEN q1 WHEN 2 THEN q2 ELSE q3 END AS DOUBLE) AS value FROM (
+  SELECT transaction_type, {', '.join(f"{_RANK_SQL.format(q=q)} AS q{i}" for i, q in ((1, 0.25), (2, 0.5), (3, 0.75)))} FROM r GROUP BY 1), (VALUES (1), (2), (3)) v(q)
+UNION ALL SELECT 'hour', CAST(hour(_loaded_at) AS VARCHAR), CAST(count(*) AS DOUBLE) FROM raw_transactions GROUP BY 2
+UNION ALL SELECT 'merchant', merchant_id, round(100.0 * n / total, 4) FROM m WHERE n > total * {MERCHANT_SHARE}
+UNION ALL SELECT 'mcc', mcc_code, CAST(count(*) AS DOUBLE) FROM raw_transactions GROUP BY 2 HAVING count(*) > (SELECT count(mcc_code) FROM raw_transactions) * 0.05""",
+                                          "raw_transactions"))
+def q08_detail(spark, sf_dir):
+    """Exact quartiles of the amounts of each type, rows by hour, percent of the rows of merchants with more than
+    ``MERCHANT_SHARE`` of them, and rows of merchant codes with more than 5%."""
+    from cardmart.operators import profile as P
+    t = DT.raw_transactions(spark, sf_dir)
+    found = P.exact_quantiles(t, "amount", (0.25, 0.5, 0.75), "transaction_type")
+    quartiles = spark.createDataFrame([("quartile", f"{g} q{i + 1}", float(x)) for g, xs in found.items() for i, x in enumerate(xs)],
+                                      "part string, name string, value double")
+    hour = P.hours(t, "_loaded_at").select(F.lit("hour").alias("part"), F.col("hour").cast("string").alias("name"), F.col("n").cast("double").alias("value"))
+    merchants = P.heavy_values(t, "merchant_id", MERCHANT_SHARE).select(
+        F.lit("merchant").alias("part"), F.col("merchant_id").alias("name"), F.round(F.lit(100.0) * F.col("n") / F.col("total"), 4).alias("value"))
+    codes = P.heavy_values(t, "mcc_code", 0.05).select(F.lit("mcc").alias("part"), F.col("mcc_code").alias("name"), F.col("n").cast("double").alias("value"))
+    return reduce(DataFrame.unionByName, [quartiles, hour, merchants, codes])
+
+
 @query("x02_parity", with_views("""
 SELECT 'none' AS side, transaction_id FROM fact_payment_ledger WHERE false""",
                                 "fact_payment_ledger"))
 def x02(spark, sf_dir):
     """Rebuild fact vs. the fact joined from stored-style intermediates: no row differs."""
-    from cardmart.plans.pipeline import fact_from_intermediates
+    from cardmart.plans.loads import fact_of_stored
     raw = DT.raw_tables(spark, sf_dir)
     m = M.build_all(raw)
     a = m["fact_payment_ledger"].withColumn("net_amount", F.col("net_amount").cast("decimal(12,2)"))
     settled_fees = M.int_fees(m["stg_gateway_log"], settled_only=True)
-    b = fact_from_intermediates(m["int_transactions_enriched"], m["int_settlements"], settled_fees,
-                                raw["dispute_memos"]).drop("dw_load_timestamp")
-    only_a, only_b = Q.parity(a, b)
+    b = fact_of_stored(m["int_transactions_enriched"], m["int_settlements"], settled_fees, raw["dispute_memos"])
+    only_a, only_b = Q.parity_by_bucket(a, b, ["transaction_id"])
     return (only_a.select(F.lit("rebuild").alias("side"), "transaction_id")
             .unionByName(only_b.select(F.lit("upsert").alias("side"), "transaction_id")))
 
@@ -509,7 +538,7 @@ def x02_scale(spark, sf_dir):
     """The rebuilt fact against the same fact at scale 2: rows with fractions of a cent differ, on both sides."""
     a = fact(spark, sf_dir)
     rounded = F.col("net_amount").cast("decimal(12,2)").cast(a.schema["net_amount"].dataType)
-    only_a, only_b = Q.parity(a, a.withColumn("net_amount", rounded), drop=["dw_load_timestamp"])
+    only_a, only_b = Q.parity_by_bucket(a, a.withColumn("net_amount", rounded), ["transaction_id"], drop=["dw_load_timestamp"])
     return (only_a.select(F.lit("rebuild").alias("side"), "transaction_id")
             .unionByName(only_b.select(F.lit("upsert").alias("side"), "transaction_id")))
 
