@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardmart.functions.text import DESCRIPTION_STOPWORDS, SLOTS, WORD_PATTERN, slot_for
 
-SENTENCE_END = r"[.!?\n]+"
+#: End marks with white space after them (so amounts stay whole), or line ends.
+SENTENCE_END = r"[.!?]+(?:[ \t\r\n]+|$)|\n+"
 K1, B = 1.2, 0.75
 QUESTION_WORDS = ("what", "why", "when", "where", "which", "who", "how", "does", "do", "did", "are", "be", "about", "said", "much")
 

@@ -133,7 +133,7 @@ q AS MATERIALIZED (SELECT w FROM (SELECT DISTINCT unnest(regexp_extract_all(lowe
   WHERE w NOT IN ({_STOP}) ORDER BY length(w) DESC, w LIMIT 10),
 terms AS MATERIALIZED (SELECT w FROM q UNION SELECT w FROM (VALUES ('passage'), ('mentions')) v(w)),
 s AS MATERIALIZED (SELECT doc_id, x.s, x.pos, regexp_extract_all(lower(x.s), '[a-z]+') AS w FROM (
-  SELECT doc_id, unnest([{{'s': y, 'pos': i}} FOR y, i IN [z FOR z IN regexp_split_to_array(text, '[.!?\n]+') IF regexp_matches(lower(z), '[a-z]+')]]) AS x FROM documents)),
+  SELECT doc_id, unnest([{{'s': y, 'pos': i}} FOR y, i IN [z FOR z IN regexp_split_to_array(text, '{AN.SENTENCE_END}') IF regexp_matches(lower(z), '[a-z]+')]]) AS x FROM documents)),
 st AS (SELECT count(*) AS n, sum(len(w)) / CAST(count(*) AS DOUBLE) AS mean FROM s),
 h AS MATERIALIZED (SELECT doc_id, pos, s.s, len(s.w) AS dl, t.w AS term, CAST(len([x FOR x IN s.w IF x = t.w]) AS DOUBLE) AS tf FROM s, terms t WHERE list_contains(s.w, t.w)),
 df AS (SELECT term, count(*) AS k FROM h GROUP BY term),
@@ -232,8 +232,7 @@ def _instruction_ctes(name: str, instruction: str) -> str:
 
 
 _INSTRUCTION_SQL = rf"""sent AS MATERIALIZED (SELECT list_distinct(regexp_extract_all(lower(s), '[a-z]+')) AS w FROM (
-  SELECT unnest([z FOR z IN regexp_split_to_array(text, '[.!?
-]+') IF regexp_matches(lower(z), '[a-z]+')]) AS s FROM documents)),
+  SELECT unnest([z FOR z IN regexp_split_to_array(text, '{AN.SENTENCE_END}') IF regexp_matches(lower(z), '[a-z]+')]) AS s FROM documents)),
 {_instruction_ctes('insult', INSULTS)}, {_instruction_ctes('license', LICENSES)}"""
 
 
