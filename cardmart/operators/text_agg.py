@@ -17,7 +17,7 @@ No group is ever collected whole: only the n winners per group are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardmart.functions.text import STOPWORDS, words
@@ -33,9 +33,10 @@ SCORE_DIGITS = 9
 _TERM_STOP = sorted({w for ws in STOPWORDS.values() for w in ws})
 
 
-def sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, sentence) for every non-blank sentence."""
-    s = df.select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT))
+def sentences(df: DataFrame, keys: str | list[str], text_col: str) -> DataFrame:
+    """(keys, pos, sentence) for every non-blank sentence."""
+    keys = [keys] if isinstance(keys, str) else keys
+    s = df.select(*keys, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT))
                   .alias("pos", "sentence"))
     return s.filter(F.length(F.trim("sentence")) > 0)
 
@@ -48,41 +49,74 @@ def idf_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df_.select("word", F.log(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf"))
 
 
-def sentence_scores(sent: DataFrame, keys: list[str], idf: DataFrame) -> DataFrame:
-    """Mean IDF of each sentence's words (sentences without words score 0)."""
-    w = sent.select(*keys, F.explode(words("sentence")).alias("word"))
-    scored = (w.join(idf, "word", "inner").groupBy(*keys)
-              .agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score")))
-    return sent.join(scored, keys, "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+def sentence_scores(df: DataFrame, keys: list[str], id_col: str, text_col: str) -> DataFrame:
+    """(``keys``, pos, score): mean IDF of each sentence's words, 0 without words.  Words alone are shuffled."""
+    sent = sentences(df.select(*keys, text_col), keys, text_col)
+    w = sent.select(*keys, "pos", F.explode_outer(words("sentence")).alias("word"))
+    return (w.join(idf_table(df, id_col, text_col), "word", "left").groupBy(*keys, "pos")
+            .agg(F.coalesce(F.round(F.avg("idf"), SCORE_DIGITS), F.lit(0.0)).alias("score")))
+
+
+def sentence_at(text_col: str, pos) -> Column:
+    """The sentence of a text at a position that ``sentences`` gave."""
+    return F.get(F.split(F.col(text_col), SENTENCE_SPLIT), pos)
 
 
 def summarize(df: DataFrame, id_col: str, text_col: str, n_sentences: int = 2) -> DataFrame:
-    """Per text, its ``n_sentences`` best sentences by mean IDF, in text order."""
-    sent = sentences(df, id_col, text_col)
-    scored = sentence_scores(sent, [id_col, "pos"], idf_table(df, id_col, text_col))
+    """Per text, its ``n_sentences`` best sentences by mean IDF, in text order.
+
+    Positions are ranked; the text meets its few winning positions afterwards and cuts them out itself.
+    """
+    scored = sentence_scores(df, [id_col], id_col, text_col)
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("pos"))
-    top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_sentences)
-    summary = top.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))),
-                                 lambda x: x["sentence"]), " ").alias("summary"))
-    return df.select(id_col).join(summary, id_col, "left")
+    top = (scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_sentences)
+           .groupBy(id_col).agg(F.array_sort(F.collect_list("pos")).alias("_best")))
+    return df.select(id_col, text_col).join(top, id_col, "left").select(
+        id_col, F.array_join(F.transform("_best", lambda p: sentence_at(text_col, p)), " ").alias("summary"))
 
 
 def summarize_groups(df: DataFrame, group_col: str, id_col: str, text_col: str,
                      n_sentences: int = 3) -> DataFrame:
-    """One summary per group -- the group's best sentences across all its texts."""
-    sent = sentences(df.select(id_col, text_col), id_col, text_col)
-    sent = sent.join(df.select(id_col, group_col), id_col)
-    scored = sentence_scores(sent, [id_col, "pos"], idf_table(df, id_col, text_col))
+    """One summary per group -- the group's best sentences across all its texts.
+
+    (group, id, position) are ranked, partially before the exchange; only the texts of the winners are fetched.
+    """
+    scored = sentence_scores(df, [group_col, id_col], id_col, text_col)
     w = Window.partitionBy(group_col).orderBy(F.col("score").desc(), F.col(id_col), F.col("pos"))
-    top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_sentences)
-    summary = top.groupBy(group_col).agg(
+    top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_sentences).select(group_col, id_col, "pos", "_r")
+    fetched = top.join(df.select(id_col, text_col), id_col).withColumn("sentence", sentence_at(text_col, F.col("pos")))
+    summary = fetched.groupBy(group_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "sentence"))),
                                  lambda x: x["sentence"]), " ").alias("category_summary"))
     counts = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
     return counts.join(summary, group_col, "left").orderBy(F.col("n").desc(), group_col)
 
 
+def group_terms(df: DataFrame, group_col: str, text_col: str, instruction: str, n_terms: int = 3) -> DataFrame:
+    """T11 with an instruction: (group, terms), the words of each group that answer the instruction.
+
+    Candidates are the instruction's words and the company they keep in the corpus (``operators.instruct``);
+    in a group they rank by weight times class-based TF-IDF, tf(w, group) * ln(1 + mean group size / f(w)).
+    """
+    from cardmart.operators.instruct import expansion, instruction_terms
+    weights = expansion(df, text_col, instruction_terms(instruction))
+    if not weights:
+        return df.select(group_col).distinct().withColumn("terms", F.lit(None).cast("string"))
+    table = F.create_map(*[F.lit(x) for w, v in weights.items() for x in (w, float(v))])
+    counted = (df.select(group_col, F.explode(words(text_col)).alias("word")).groupBy(group_col, "word")
+               .agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    total, groups = counted.agg(F.sum("tf"), F.countDistinct(F.struct(group_col))).first()
+    hits = counted.filter(F.col("word").isin(*weights))
+    f = hits.groupBy("word").agg(F.sum("tf").alias("f"))
+    size = float(total or 0) / max(1, groups or 0)
+    scored = hits.join(f, "word").withColumn("score", F.round(
+        F.element_at(table, F.col("word")) * F.col("tf") * F.log(1 + F.lit(size) / F.col("f")), 6))
+    w = Window.partitionBy(group_col).orderBy(F.col("score").desc(), F.col("word"))
+    top = (scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_terms).groupBy(group_col).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "word"))), lambda x: x["word"]), ", ").alias("terms")))
+    return df.select(group_col).distinct().join(top, group_col, "left")
+
+
 def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: str,
                   id_col: str, min_rows: int = 3, top: int = 10, n_terms: int = 3) -> DataFrame:
     """One insight string per group: size, most common category (ties -> first by
@@ -90,8 +124,11 @@ def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: st
     mean IDF, ties -> larger id); groups with at least ``min_rows`` rows, the ``top``
     largest (count desc, group asc)."""
     base = df.select(group_col, text_col, category_col, id_col)
-    counts = base.groupBy(group_col).agg(F.count(F.lit(1)).alias("dispute_count"))
-    counts = counts.filter(F.col("dispute_count") >= min_rows)
+    whole = base
+    # The groups that are reported are known from their counts; only their texts are taken apart.
+    counts = (base.groupBy(group_col).agg(F.count(F.lit(1)).alias("dispute_count"))
+              .filter(F.col("dispute_count") >= min_rows).orderBy(F.col("dispute_count").desc(), group_col).limit(top))
+    base = base.join(F.broadcast(counts.select(group_col)), group_col, "left_semi")  # ``top`` rows
     per_cat = base.groupBy(group_col, category_col).agg(F.count(F.lit(1)).alias("_n"))
     top_cat = per_cat.groupBy(group_col).agg(
         F.min_by(category_col, F.struct((-F.col("_n")).alias("_neg"), F.col(category_col)))
@@ -107,7 +144,7 @@ def group_insight(df: DataFrame, group_col: str, text_col: str, category_col: st
     # representative text: score every text by the mean IDF of its words, carrying only
     # (id, group, word) through the shuffle; the text itself is joined back for the
     # single winner of each group.
-    idf = idf_table(base, id_col, text_col)
+    idf = idf_table(whole, id_col, text_col)
     doc_score = (base.select(id_col, group_col, F.explode(words(text_col)).alias("word"))
                  .join(idf, "word").groupBy(id_col, group_col)
                  .agg(F.round(F.avg("idf"), SCORE_DIGITS).alias("score")))

@@ -263,3 +263,28 @@ def a13_instruction(spark, sf_dir):
     toxic, keep = F.col("toxic") == 1, F.col("x.keep")
     return both.groupBy(F.col("x.instruction").alias("instruction")).agg(
         F.count(F.lit(1)).alias("labelled"), F.count_if(keep).alias("kept"), F.count_if(keep & toxic).alias("kept_toxic"), F.count_if(toxic).alias("toxic"))
+
+
+# ---------------------------------------------------------------- T11 with an instruction
+
+def _group_terms_sql(name: str) -> str:
+    return f"""SELECT g.dispute_category, '{name}' AS instruction, t.terms FROM (SELECT DISTINCT dispute_category FROM dispute_memos) g LEFT JOIN (
+  SELECT dispute_category, string_agg(word, ', ' ORDER BY r) AS terms FROM (
+    SELECT *, row_number() OVER (PARTITION BY dispute_category ORDER BY score DESC, word) AS r FROM (
+      SELECT dispute_category, word, round(v * tf * ln(1 + (SELECT sum(tf) / count(DISTINCT dispute_category) FROM tf) / f), 6) AS score
+      FROM tf JOIN {name}_w USING (word) JOIN (SELECT word, sum(tf) AS f FROM tf GROUP BY word) USING (word)))
+  WHERE r <= 3 GROUP BY dispute_category) t ON t.dispute_category = g.dispute_category"""
+
+
+@query("t11_agg_instruction", with_views(f"""
+WITH {_INSTRUCTION_SQL},
+tf AS MATERIALIZED (SELECT dispute_category, word, CAST(count(*) AS DOUBLE) AS tf FROM (
+  SELECT dispute_category, unnest(regexp_extract_all(lower(memo_text), '[a-z]+')) AS word FROM dispute_memos) GROUP BY ALL)
+{_group_terms_sql('insult')} UNION ALL {_group_terms_sql('license')}""", "dispute_memos"))
+def t11_instruction(spark, sf_dir):
+    """Words of each dispute category that answer two instructions; another instruction gives other words."""
+    from cardmart.operators.text_agg import group_terms
+    memos = DT.dispute_memos(spark, sf_dir)
+    one = lambda name, text: group_terms(memos, "dispute_category", "memo_text", text).select(
+        "dispute_category", F.lit(name).alias("instruction"), "terms")
+    return one("insult", INSULTS).unionByName(one("license", LICENSES))
