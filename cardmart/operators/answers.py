@@ -78,18 +78,21 @@ def answers(df: DataFrame, text: str, question: str, k: int = 3, out: str = "ans
         return df.withColumn(out, F.when(F.col(text).isNotNull(), empty))
     st = statistics(df, text, terms)
 
-    def scored(s: Column, pos: Column) -> Column:
-        w = _words(s)
-        length = F.size(w) / F.lit(st.mean)
-        parts = []
+    # Sentences without a word of the question drop out by one pattern; the others are split into words once.
+    any_term = f"(?<![a-z])(?:{'|'.join(terms)})(?![a-z])"
+    placed = F.transform(sentences(text), lambda s, pos: F.struct(s.alias("s"), pos.alias("pos")))
+    hits = F.transform(F.filter(placed, lambda x: F.lower(x["s"]).rlike(any_term)),
+                       lambda x: F.struct(x["s"].alias("s"), x["pos"].alias("pos"), _words(x["s"]).alias("w")))
+
+    def scored(x: Column) -> Column:
+        length = F.size(x["w"]) / F.lit(st.mean)
+        score = None
         for t, n in zip(terms, st.holding):
-            tf = F.size(F.filter(w, lambda x: x == t)).cast("double")  # noqa: B023 -- used at once
-            parts.append(F.lit(idf(st.n, n)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length)))
-        score = parts[0]
-        for p in parts[1:]:
-            score = score + p
-        return F.struct((-F.round(score, digits)).alias("minus"), pos.alias("pos"), _span(s, question, terms).alias("answer"))
-
-    ranked = F.array_sort(F.filter(F.transform(sentences(text), scored), lambda x: (x["minus"] < 0) & x["answer"].isNotNull()))
+            tf = F.size(F.filter(x["w"], lambda y: y == t)).cast("double")  # noqa: B023 -- used at once
+            part = F.lit(idf(st.n, n)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
+            score = part if score is None else score + part
+        return F.struct((-F.round(score, digits)).alias("minus"), x["pos"].alias("pos"), _span(x["s"], question, terms).alias("answer"))
+
+    ranked = F.array_sort(F.filter(F.transform(hits, scored), lambda x: (x["minus"] < 0) & x["answer"].isNotNull()))
     best = F.transform(F.slice(ranked, 1, k), lambda x: F.struct(x["answer"].alias("answer"), (-x["minus"]).alias("score")))
     return df.withColumn(out, best)
