@@ -31,4 +31,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from cardmart.plans import (  # noqa: F401
-        queries_answers, queries_landing, queries_ledger, queries_loads, queries_relational, queries_streaming, queries_text, queries_vectors)
+        queries_answers, queries_landing, queries_ledger, queries_loads, queries_relational, queries_respond, queries_streaming, queries_text, queries_vectors)
