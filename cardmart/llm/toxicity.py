@@ -12,16 +12,20 @@ the drift.
 Scoring.  One linear scan finds all maximal scoring segments of a text (Ruzzo and
 Tompa): stretches whose total cannot be improved by moving an end.  By
 extreme-value theory the number of segments with at least a total of ``s`` in an
-innocent text of ``n`` words is about ``K n exp(-lambda s)``; lambda solves
-``sum p(x) exp(lambda x) = 1`` over the word scores of innocent training texts and
-K makes the expected count match what they show.  The evidence of a document is
-the sum of -log(expected count) over its segments that are not expected by chance
+innocent text of ``n`` words is about ``K n exp(-lambda s)``.  lambda solves
+``sum p(x) exp(lambda x) = 1`` over the histogram of the word scores of innocent
+training texts; K is the maximum-likelihood value for the best segment of each of
+them, where a text without a segment says that its best is below the smallest
+positive word score.  Half an observation of that score is added, so both exist where no
+innocent text has a scoring word.  The evidence of a document is the sum of
+-log(expected count) over its segments that are not expected by chance
 (count below one).  The score rises with it from 0 to 1 and is ``THRESHOLD`` at the
 evidence that parts the labelled training texts with the fewest errors.
 
-Limits of the fit: at most ``MAX_TRAINING`` labelled documents (those with the
-smallest md5 of their id) and ``MAX_FEATURES`` features, so the model has a fixed
-largest size and may travel with the tasks.  Every document is scored whole.
+Limit of the fit: at most ``MAX_TRAINING`` labelled documents (those with the
+smallest md5 of their id; of rows that share an id, the smallest text), so the model
+grows no further than their words and may travel with the tasks.  All features that are
+significant in them are kept.  Every document is scored whole.
 
 Rows: null or empty text scores 0.  Labels that are null or belong to no document
 are left out; a document with several labels counts once for each.  Without
@@ -33,7 +37,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,12 +50,12 @@ from cardmart.llm.common import Scratch
 WORD = re.compile(r"\w+")
 STEM = 5
 MAX_TRAINING = 20_000
-MAX_FEATURES = 20_000
 PRIOR = 100.0      # total weight of the Dirichlet prior, in texts
 MIN_Z = 3.0
 MIN_WEIGHT = 2.0
 DRIFT = 0.35
 THRESHOLD = 0.3
+LEAST_LAMBDA = 1e-6
 
 
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[float, int, int]]:
@@ -87,13 +92,9 @@ class ToxicityModel:
     k: float
     scale: float = 3.0  # evidence at which the score is THRESHOLD
 
-    def segments(self, text: str | None) -> tuple[list[tuple[float, int, int]], int]:
-        """Maximal segments in words, and the number of words."""
-        if not text:
-            return [], 0
-        words = WORD.findall(text.lower())
-        if not self.weights:
-            return [], len(words)
+    def hits(self, text: str | None) -> tuple[list[tuple[int, float]], int]:
+        """Positions and weights of the words that score, and the number of words."""
+        words = WORD.findall(text.lower()) if text else []
         get = self.weights.get
         hits = []
         for i, w in enumerate(words):
@@ -103,28 +104,53 @@ class ToxicityModel:
                 x = y if x is None or (y is not None and y > x) else x
             if x is not None and x > self.drift:
                 hits.append((i, x))
-        return maximal_segments(hits, self.drift), len(words)
+        return hits, len(words)
 
-    def expected(self, score: float, n: int) -> float:
-        return self.k * max(n, 1) * math.exp(-self.lam * score)
+    def segments(self, text: str | None) -> tuple[list[tuple[float, int, int]], int]:
+        """Maximal segments in words, and the number of words."""
+        hits, n = self.hits(text)
+        return maximal_segments(hits, self.drift), n
+
+    def surprise(self, score: float, n: int) -> float:
+        """Negative log of the expected number of segments with at least this total in an innocent text of n words."""
+        return self.lam * score - math.log(self.k * max(n, 1))
 
     def evidence(self, text: str | None) -> float:
-        """Negative log of the expected counts, over all segments that chance would not bring about."""
+        """The surprise of all segments that chance would not bring about."""
         found, n = self.segments(text)
-        return sum(-math.log(max(e, 1e-12)) for e in (self.expected(s, n) for s, _, _ in found) if e < 1)
+        return sum(max(self.surprise(s, n), 0.0) for s, _, _ in found)
 
     def score(self, text: str | None) -> float:
         x = self.evidence(text)
         return x / (x + self.scale * (1 - THRESHOLD) / THRESHOLD)
 
 
+def solve_lambda(histogram: Mapping[float, float]) -> float:
+    """The positive root of ``sum p(x) exp(lambda x) = 1`` for the counts of the word scores x."""
+    total = sum(histogram.values())
+    if sum(x * c for x, c in histogram.items()) >= 0:
+        return LEAST_LAMBDA  # scoring words are so common that long segments are no surprise
+
+    def excess(lam: float) -> float:
+        return sum(c * math.expm1(lam * x) for x, c in histogram.items()) / total
+
+    lo, hi = LEAST_LAMBDA, 1.0
+    while excess(hi) <= 0:
+        lo, hi = hi, 2 * hi
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (lo, mid) if excess(mid) > 0 else (mid, hi)
+    return (lo + hi) / 2
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> DataFrame:
     """(text, toxic) of at most ``limit`` labelled training documents (crc32 of the id mod 4 is not 2)."""
     chosen = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
-              .select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
+              .select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")).distinct()
               .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "toxic").limit(limit))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING, scratch: Scratch | None = None) -> ToxicityModel:
@@ -144,38 +170,40 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING, scratch:
     odds = lambda y, n: F.log((y + a) / (n + PRIOR - y - a))
     weighed = counts.withColumn("weight", odds(y1, float(n1)) - odds(y0, float(n0))).withColumn(
         "z", F.col("weight") / F.sqrt(1 / (y1 + a) + 1 / (y0 + a)))
-    top = (weighed.where((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT))
-           .orderBy(F.desc("z"), "w").limit(MAX_FEATURES).select("w", "weight"))
+    top = weighed.where((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT)).select("w", "weight")
     weights = {r["w"]: float(r["weight"]) for r in top.collect()}
     model = ToxicityModel(weights, DRIFT, 1.0, 1.0)
+    smallest = min(weights.values(), default=MIN_WEIGHT) - DRIFT
 
-    # Word scores and best segments of innocent texts, for lambda and K.
+    # The histogram of the word scores of innocent texts: one row for each weight that occurs.
     def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            seen: Counter[float] = Counter()
+            for text in b["text"]:
+                hits, n = model.hits(text)
+                seen.update(x - DRIFT for _, x in hits)
+                seen[-DRIFT] += n - len(hits)
+            yield pd.DataFrame({"x": list(seen.keys()), "n": list(seen.values())})
+
+    innocent = rows.where("toxic = 0").select("text")
+    histogram = {r["x"]: float(r["n"]) for r in innocent.mapInPandas(observe, "x double, n long").groupBy("x").agg(
+        F.sum("n").alias("n")).collect() if r["n"]}
+    histogram[smallest] = histogram.get(smallest, 0.0) + 0.5
+    histogram.setdefault(-DRIFT, 1.0)
+    lam = solve_lambda(histogram)
+
+    # K: texts with a segment, over the sum of n exp(-lambda best).
+    def bests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for text in b["text"]:
                 found, n = model.segments(text)
-                out.append((n, len(found), float(sum(s for s, _, _ in found)), max((s for s, _, _ in found), default=0.0)))
-            yield pd.DataFrame(out, columns=["n", "found", "total", "best"])
-
-    seen = rows.where("toxic = 0").select("text").mapInPandas(observe, "n long, found long, total double, best double")
-    stat = seen.agg(F.sum("n").alias("n"), F.sum("found").alias("found"), F.sum("total").alias("total")).first()
-    n, found = stat["n"] or 0, stat["found"] or 0
-    mean = (stat["total"] or 0.0) / found if found else 0.0
-    gain = max(mean, MIN_WEIGHT)
-    p = (found + 0.5) / (n + 1.0)  # share of innocent words that begin a segment
-    # lambda: p exp(lambda gain) + (1 - p) exp(-lambda drift) = 1.
-    lo, hi = 1e-6, 50.0
-    for _ in range(80):
-        mid = (lo + hi) / 2
-        if p * math.exp(mid * gain) + (1 - p) * math.exp(-mid * DRIFT) > 1:
-            hi = mid
-        else:
-            lo = mid
-    lam = (lo + hi) / 2
-    # K: expected segments of the mean score per word equal the share seen.
-    k = p * math.exp(lam * gain) if found else p
-    calibrated = ToxicityModel(weights, DRIFT, lam, min(k, 1.0))
+                out.append((int(bool(found)), n * math.exp(-lam * max((s for s, _, _ in found), default=smallest))))
+            yield pd.DataFrame(out, columns=["has", "weight"])
+
+    stat = innocent.mapInPandas(bests, "has long, weight double").agg(F.sum("has").alias("has"), F.sum("weight").alias("weight")).first()
+    k = ((stat["has"] or 0) + 0.5) / ((stat["weight"] or 0.0) + math.exp(-lam * smallest))
+    calibrated = ToxicityModel(weights, DRIFT, lam, k)
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -194,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING, scratch:
         if errors < best and i < len(pairs):
             best, scale = errors, (x + pairs[i][0]) / 2
     scale = scale if scale is not None else (pairs[0][0] if pairs else 3.0)
-    return ToxicityModel(weights, DRIFT, lam, min(k, 1.0), scale)
+    return ToxicityModel(weights, DRIFT, lam, k, scale)
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, column: str, text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Edge cases and brute-force checks of the training-data operators."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -360,6 +361,45 @@ def test_maximal_segments_against_brute_force():
         assert np.allclose([s for s, _, _ in got], [s for s, _, _ in want])
 
 
+def test_toxicity_calibration_against_brute_force(spark, make_docs):
+    random.seed(11)
+    common, bad = [f"w{i}" for i in range(60)], ["scumbag", "moronic", "trashy"]
+    texts = [random.choices(common, k=random.randint(1, 60)) for _ in range(600)]
+    for i, t in enumerate(texts):
+        for _ in range(random.choice([3, 5]) if i % 3 == 0 else random.random() < 0.1):
+            t.insert(random.randint(0, len(t)), random.choice(bad))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(0, " ".join(texts[0])), (1, "zzz later copy of an id")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    docs = make_docs(rows)
+    used = toxicity.training_rows(docs, labels).collect()
+    chosen = [i for i in range(600) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted((r["text"], r["toxic"]) for r in used) == sorted(
+        (min(t for j, t in rows if j == i), int(i % 3 == 0)) for i in chosen)
+    assert toxicity.training_rows(docs, labels, 5).count() == 5
+    model = toxicity.fit(docs, labels)
+    assert model.weights
+
+    def word_score(w):
+        x = max(model.weights.get(w, 0.0), model.weights.get(w[:toxicity.STEM] + "~", 0.0) if len(w) >= toxicity.STEM else 0.0)
+        return (x if x > model.drift else 0.0) - model.drift
+
+    innocent = [[word_score(w) for w in r["text"].split()] for r in used if not r["toxic"]]
+    least = min(model.weights.values()) - model.drift
+    every = [x for t in innocent for x in t]
+    assert abs(sum(math.exp(model.lam * x) for x in every) + 0.5 * math.exp(model.lam * least) - len(every) - 0.5) < 1e-6 * len(every)
+
+    def best(t):
+        return max((sum(t[i:j]) for i in range(len(t)) for j in range(i + 1, len(t) + 1)), default=0.0)
+
+    found = [(len(t), best(t)) for t in innocent]
+
+    def likelihood(k):  # with half an observation of the smallest score in a text of one word
+        return sum((math.log(k) if b > 0 else 0.0) - k * n * math.exp(-model.lam * (b if b > 0 else least)) for n, b in found) + (
+            0.5 * math.log(k) - k * math.exp(-model.lam * least))
+
+    assert all(likelihood(model.k) > likelihood(model.k * f) for f in (0.97, 0.99, 1.01, 1.03))
+
+
 def test_toxicity_on_held_out_labels(spark, make_docs, odd_rows, no_docs):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
