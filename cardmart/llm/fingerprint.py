@@ -10,22 +10,25 @@ Shingles are of five lower-cased words; fewer words are one shingle.  Null and
 empty texts have the empty sketch; two empty sketches are alike (1), an empty
 and another one are not (0).  Equal texts have equal sketches.  The next
 document of a row is the one after it in the order of doc_id (null ids first;
-ties by text), that of the last row is the first.  Other columns stay unread.
+ties by text), that of the last row is the first.  Rows without an id follow one another by
+text and so share a part.  Other columns stay unread.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardmart.llm.common import WordHash, shingle_hashes, word_hashes
 
 SHINGLE = 5
-FRACTION = 1 / 8
+FRACTION = 1 / 4
 
 
 def sketch(text: str | None, memo: WordHash, fraction: float = FRACTION) -> np.ndarray:
@@ -35,23 +38,36 @@ def sketch(text: str | None, memo: WordHash, fraction: float = FRACTION) -> np.n
     return kept if len(kept) else h[:1]
 
 
-def containment(a: Column, b: Column) -> Column:
+def _below(fraction: float):
+    """Condition on a hash held as a signed number of the same bits."""
+    limit = int(fraction * 2 ** 64)
+    if limit > 2 ** 63:
+        raise ValueError("a fraction is at most one half")
+    return lambda x: (x >= 0) & (x <= limit - 1)
+
+
+def _counts(a: Column, b: Column, fraction: float) -> tuple[Column, Column, Column]:
+    """Hashes below the threshold in a, in b and in both.  Sketches are sorted and distinct, so one look tells names from sketches."""
+    below = _below(fraction)
+    n = [F.when(F.coalesce(below(F.get(x, F.lit(0))), F.lit(False)), F.size(x)).otherwise(0) for x in (a, b)]
+    return n[0], n[1], F.when((n[0] > 0) & (n[1] > 0), F.size(F.array_intersect(a, b))).otherwise(0)
+
+
+def containment(a: Column, b: Column, fraction: float = FRACTION) -> Column:
     """Share of the smaller sketch that is in the other one (0 to 1)."""
-    smaller = F.least(F.size(a), F.size(b))
-    return (F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(smaller == 0, 0.0)
-            .otherwise(F.size(F.array_intersect(a, b)) / smaller))
+    n, m, both = _counts(a, b, fraction)
+    return F.when(a == b, 1.0).when((n == 0) | (m == 0), 0.0).otherwise(both / F.least(n, m))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(both / (F.size(a) + F.size(b) - both))
+def jaccard(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    n, m, both = _counts(a, b, fraction)
+    return F.when(a == b, 1.0).when((n == 0) | (m == 0), 0.0).otherwise(both / (n + m - both))
 
 
 def merge(a: Column, b: Column, fraction: float = FRACTION) -> Column:
     """Sketch of the union of two texts (hashes are held as signed numbers of the same bits)."""
-    below = lambda x: (x >= 0) & (x < int(fraction * 2 ** 64))
     union = F.array_sort(F.array_union(a, b))
-    inside = F.filter(union, below)
+    inside = F.filter(union, _below(fraction))
     return F.when(F.size(inside) > 0, inside).otherwise(union)
 
 
@@ -64,34 +80,31 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """(part, tail, doc_id, text): rows dealt by ranges of doc_id, so that a row's next is the row after it.
 
     Each part also gets a copy of the first row of the part after it (``tail``);
-    the last gets the first row of all.  Only range bounds (one number a part)
-    pass the driver.
+    the last gets the first row of all.  Two numbers a part pass the driver: its lower bound,
+    which a row finds by binary search, and its smallest id, which travels back as a table of as
+    many rows as there are parts.
     """
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    cuts = rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
-    cuts = sorted(set(int(c) for c in cuts))
-
-    # A part is the number of cuts at or below the id; null ids are in part 0.
-    part = F.coalesce(F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast(
-        "array<bigint>"), lambda c: c <= F.col("doc_id"))), F.lit(0))
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(part)
-    rows = rows.withColumn("part", part)
-    firsts = sorted((r["part"], r["first"]) for r in rows.groupBy("part").agg(
-        F.min(F.struct(F.col("doc_id").isNotNull().alias("given"), F.coalesce("doc_id", F.lit(0)).alias("id"))).alias("first")).collect())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                       F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf)).alias("place"))
+    cuts = rows.where("doc_id is not null").approxQuantile("place", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    bounds = [-math.inf, *sorted(set(cuts)), math.inf]
+    if len(bounds) > 2:
+        rows = Bucketizer(splits=bounds, inputCol="place", outputCol="part").transform(rows).withColumn("part", F.col("part").cast("int"))
+    else:
+        rows = rows.withColumn("part", F.lit(0))
+    rows = rows.select("part", "doc_id", "text")
+    firsts = sorted(rows.groupBy("part").agg(F.max(F.col("doc_id").isNull()).alias("nulls"), F.min("doc_id").alias("first")).collect())
     if not firsts:
         return rows.select("part", F.lit(False).alias("tail"), "doc_id", "text")
-    parts = [p for p, _ in firsts]
-    before = {p: parts[i - 1] for i, p in enumerate(parts)}  # the first part's rows also end the last part
-    of_part = F.create_map(*[F.lit(x) for p, (given, i) in firsts for x in (p, i if given else -1)])
-    to_part = F.create_map(*[F.lit(x) for p in parts for x in (p, before[p])])
-    head = F.coalesce(F.col("doc_id"), F.lit(-1)) == F.element_at(of_part, F.col("part"))
-    copies = rows.where(head).select(F.element_at(to_part, F.col("part")).alias("part"),
-                                     F.lit(True).alias("tail"), "doc_id", "text")
+    heads = [(r["part"], firsts[i - 1]["part"], None if r["nulls"] else r["first"]) for i, r in enumerate(firsts)]
+    heads = spark.createDataFrame(heads, "part int, before int, first long")  # the first part's head also ends the last part
+    copies = (rows.join(F.broadcast(heads), "part").where(F.col("doc_id").eqNullSafe(F.col("first")))
+              .groupBy("before").agg(F.min(F.struct("doc_id", "text")).alias("row"))
+              .select(F.col("before").alias("part"), F.lit(True).alias("tail"), "row.doc_id", "row.text"))
     dealt = rows.select("part", F.lit(False).alias("tail"), "doc_id", "text").unionByName(copies)
-    return (dealt.repartitionById(len(cuts) + 1, F.col("part").cast("int"))
-            .sortWithinPartitions("tail", "doc_id", "text"))
+    return dealt.repartitionById(len(bounds) - 1, F.col("part")).sortWithinPartitions("tail", "doc_id", "text")
 
 
 def fingerprint_documents(docs: DataFrame, fraction: float = FRACTION, partitions: int | None = None) -> DataFrame:
@@ -119,15 +132,12 @@ def fingerprint_documents(docs: DataFrame, fraction: float = FRACTION, partition
             rows.clear()
             return batch
 
-        ended = False
         for b in batches:
-            for tail, doc_id, text in zip(b["tail"].to_pylist(), b["doc_id"].to_pylist(), b["text"].to_pylist()):
-                if ended:
-                    break  # further copies of the next part's first row
+            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
                 now = (doc_id, text, sketch(text, memo, fraction))
                 if held is not None:
                     done(held, now)
-                held, ended = now, tail
+                held = now  # the last row of a part is the copy of the next part's head
                 if len(rows) >= 500:
                     yield out()
         if rows:
@@ -135,4 +145,4 @@ def fingerprint_documents(docs: DataFrame, fraction: float = FRACTION, partition
 
     schema = ("doc_id long, n_chars long, edited_sha256 string, sketch array<bigint>, edited_sketch array<bigint>, "
               "next_sketch array<bigint>")
-    return with_next(docs, partitions).select("tail", "doc_id", "text").mapInArrow(run, schema)
+    return with_next(docs, partitions).select("doc_id", "text").mapInArrow(run, schema)

@@ -196,6 +196,38 @@ def test_sketches_merge_and_estimate_containment(spark):
     assert len(set(r["both"]) ^ set(r["m"])) <= 4  # only the shingles across the seam
 
 
+def test_likeness_of_short_texts(spark):
+    """Texts inside a long one: the estimate rests on hashes below the threshold, and nothing else stands in for them."""
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(4_000)]
+    memo = WordHash()
+    sk = lambda t: fingerprint.sketch(t, memo).view(np.int64).tolist()
+    limit = int(fingerprint.FRACTION * 2 ** 64)
+    shorts = [" ".join(words[i:i + n]) for n in (5, 8, 12, 20, 40) for i in range(0, 3_000, 50)]
+    rows = [(sk(t), sk(" ".join(words)), i) for i, t in enumerate(shorts)] + [([], [], -1), ([], sk("a b c"), -2), (sk("a b c"), sk("a b c"), -3)]
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, i int")
+    got = {r["i"]: (r["c"], r["j"], r["a"]) for r in df.select(
+        "i", "a", fingerprint.containment(F.col("a"), F.col("b")).alias("c"), fingerprint.jaccard(F.col("a"), F.col("b")).alias("j")).collect()}
+    for i in range(len(shorts)):
+        assert got[i][0] == (1.0 if 0 <= got[i][2][0] < limit else 0.0)
+    assert got[-1][:2] == (1.0, 1.0) and got[-2][:2] == (0.0, 0.0) and got[-3][:2] == (1.0, 1.0)
+
+
+def test_rows_are_dealt_by_binary_search(spark, make_docs):
+    rows = [(i * 7 - 500, f"text {i}") for i in range(700)]
+    dealt = fingerprint.with_next(make_docs(rows), 60)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "map(" not in plan and "lambda" not in plan
+    got = dealt.collect()
+    assert sorted(r["doc_id"] for r in got if not r["tail"]) == sorted(i for i, _ in rows)
+    by_part = defaultdict(list)
+    for r in got:
+        by_part[r["part"]].append((r["tail"], r["doc_id"]))
+    order = [max(i for t, i in by_part[p] if not t) for p in sorted(by_part)]
+    assert order == sorted(order) and len(by_part) > 40
+    assert all(sum(t for t, _ in v) == 1 for v in by_part.values())
+
+
 # ------------------------------------------------------------ 5
 
 def test_warc_round_trip(spark, scratch):
