@@ -4,9 +4,9 @@ All three are joins and aggregates over exploded sentences / words:
 
 * document frequency of a word -> ``groupBy(word)`` with map-side partial
   aggregation (a very common word is combined per map task before the shuffle);
-* sentence score = mean IDF of its words -> join words to the IDF table
-  (AQE broadcasts it when the measured vocabulary is small, otherwise a
-  sort-merge join with skew splitting for very common words);
+* sentence score = mean IDF of its words -> the frequent words' document
+  frequencies (a counted number of them) are broadcast, words of one text need
+  no table, and only what is between goes through a join (``with_idf``);
 * top-n sentences / terms per text or group -> ``row_number() <= n``, which
   Catalyst turns into a partial ``WindowGroupLimit`` before the shuffle, so a
   group holding a third of all rows still reaches its reducer as n rows per
@@ -17,10 +17,13 @@ No group is ever collected whole: only the n winners per group are.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardmart.functions.text import STOPWORDS, words
+from cardmart.session import checkpoint_root
 
 # A sentence ends at a run of blanks that follows '.', '!' or '?' (explicit blank class:
 # '\s' is not the same set in every regex engine).
@@ -28,6 +31,8 @@ SENTENCE_SPLIT = r"(?<=[.!?])[ \t\n\x0B\f\r]+"
 # Scores are rounded before ranking so that mathematically equal averages tie exactly
 # (whatever the summation order of the shuffle) and fall to the positional tie-break.
 SCORE_DIGITS = 9
+# Words whose document frequency is broadcast: about 10 MB.
+FREQUENT_WORDS = 250_000
 # Words ignored when naming a group's recurring terms: function words of the four
 # languages plus anything shorter than three letters.
 _TERM_STOP = sorted({w for ws in STOPWORDS.values() for w in ws})
@@ -49,11 +54,57 @@ def idf_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df_.select("word", F.log(F.lit(float(max(n_docs, 1))) / F.col("df")).alias("idf"))
 
 
-def sentence_scores(df: DataFrame, keys: list[str], id_col: str, text_col: str) -> DataFrame:
-    """(``keys``, pos, score): mean IDF of each sentence's words, 0 without words.  Words alone are shuffled."""
+def repeated_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """(word, df) of the words that two texts or more hold, written once below the checkpoint folder.
+
+    Words of one text alone (most of a large vocabulary) need no row: their df is 1.
+    """
+    found = (docs.select(F.explode(F.array_distinct(words(text_col))).alias("word")).groupBy("word")
+             .agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1))
+    path = f"{checkpoint_root(docs.sparkSession).rstrip('/')}/word-df/{uuid.uuid4().hex}"
+    found.write.parquet(path)
+    return docs.sparkSession.read.schema("word string, df long").parquet(path)
+
+
+def frequent_from(df_table: DataFrame, max_words: int) -> int:
+    """The smallest power of two such that at most ``max_words`` words have that df or more (one count a power)."""
+    power = F.length(F.bin("df")) - 1  # in integers
+    held, least = 0, 62
+    for b, n in sorted(((r["b"], r["n"]) for r in df_table.groupBy(power.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        held += n
+        if held > max_words:
+            return 2 ** least
+        least = b
+    return 2
+
+
+def with_idf(exploded: DataFrame, docs: DataFrame, text_col: str, max_words: int = FREQUENT_WORDS) -> DataFrame:
+    """``exploded`` (a row a word, NULL where a text has none) with the word's ``idf`` over ``docs``.
+
+    The most frequent words, at most ``max_words`` of them by a count, are broadcast, so that nearly all rows get
+    their IDF where they are.  Only if other words repeat too do the rows without one go through a join.
+    A word of neither table stands in one text: its IDF is ln(N).
+    """
+    table = repeated_words(docs, text_col)
+    n_docs = float(max(docs.count(), 1))
+    idf = F.log(F.lit(n_docs) / F.coalesce(F.col("df"), F.lit(1)))
+    least = frequent_from(table, max_words)
+    near = exploded.join(F.broadcast(table.where(F.col("df") >= least)), "word", "left")
+    if least > 2:
+        known = F.col("df").isNotNull() | F.col("word").isNull()
+        rare = near.where(~known).drop("df").join(table.where(F.col("df") < least), "word", "left")
+        near = near.where(known).unionByName(rare)
+    return near.withColumn("idf", F.when(F.col("word").isNotNull(), idf)).drop("df")
+
+
+def sentence_scores(df: DataFrame, keys: list[str], id_col: str, text_col: str, max_words: int = FREQUENT_WORDS) -> DataFrame:
+    """(``keys``, pos, score): mean IDF of each sentence's words, 0 without words.
+
+    Words meet their IDF before any exchange (``with_idf``), so the exchange holds one sum a sentence.
+    """
     sent = sentences(df.select(*keys, text_col), keys, text_col)
     w = sent.select(*keys, "pos", F.explode_outer(words("sentence")).alias("word"))
-    return (w.join(idf_table(df, id_col, text_col), "word", "left").groupBy(*keys, "pos")
+    return (with_idf(w, df, text_col, max_words).groupBy(*keys, "pos")
             .agg(F.coalesce(F.round(F.avg("idf"), SCORE_DIGITS), F.lit(0.0)).alias("score")))
 
 

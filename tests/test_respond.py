@@ -10,6 +10,7 @@ import pytest
 
 from cardmart.functions import text as TX
 from cardmart.operators import respond as RE
+from cardmart.operators import text_agg as TA
 
 MEMOS = [
     ("a", "The parcel never came. Lamps are rare goods. The the the.", "GOODS_NOT_RECEIVED"),
@@ -65,6 +66,25 @@ def test_completion_draws_by_temperature(spark):
         RE.complete(df, "dispute_id", "memo", {"cold": -1.0})
 
 
+@pytest.mark.parametrize("max_words", [0, 1, 5, TA.FREQUENT_WORDS])
+def test_scores_do_not_depend_on_what_is_broadcast(spark, max_words):
+    more = [*MEMOS, *[(f"n{i}", "The card. " * (i % 5 + 1) + "A lamp of " + "abcdefgh"[i % 8] * 3 + "!", None) for i in range(40)]]
+    df = spark.createDataFrame(more, SCHEMA)
+    table = TA.repeated_words(df, "memo")
+    least = TA.frequent_from(table, max_words)
+    assert table.where(f"df >= {least}").count() <= max_words
+    assert table.where("df < 2").count() == 0 and table.where("word = 'abcdefgh'").count() == 0
+    got = {(r["dispute_id"], r["pos"]): r["score"] for r in TA.sentence_scores(df, ["dispute_id"], "dispute_id", "memo", max_words).collect()}
+    assert got == brute_scores(more)[1]
+    assert TA.sentence_scores(df.limit(0), ["dispute_id"], "dispute_id", "memo", max_words).count() == 0
+
+
+def test_words_meet_their_frequency_before_the_exchange(spark):
+    df = spark.createDataFrame(MEMOS, SCHEMA)
+    plan = TA.sentence_scores(df, ["dispute_id"], "dispute_id", "memo")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_sentences_stay_out_of_the_exchange(spark):
     plan = RE.complete(spark.createDataFrame(MEMOS, SCHEMA).repartition(2), "dispute_id", "memo", {"cold": 0.0})._jdf.queryExecution().optimizedPlan().toString()
     assert "sentence" not in plan.split("Aggregate")[1]
