@@ -2,18 +2,20 @@
 
 Two histograms of a text are compared with those of its language:
 
-* characters by class: space, digit, A-Z, sentence mark, symbol, non-ASCII byte surplus, other;
+* characters by class: space, digit, A-Z, sentence mark, symbol, code points outside ASCII, other;
 * words: one bin for each common word of the language, one for all other words.
 
-The reference of a language is the sum of the histograms of all its documents.
+The reference of a language is the sum of the histograms of all its documents, null being a language
+too.  Languages with less than one in ``SHARE`` of all documents (so all but ``SHARE`` of them) have the
+character histogram of the whole table as their reference, and none for words.
 The measure is the Jensen-Shannon distance (base 2, 0 to 1).  A document whose
 distance exceeds the limit of a histogram is rejected; a histogram is looked at
 only when the text is long enough for it (``min_chars``, ``min_words``).
 
 Rows are judged by themselves: repeated rows get equal results, ties cannot
-arise.  Null or empty text: no words, so the base rule rejects it.  A null
-language, or one without a word list, has no reference: only the base rules
-decide.  Extra columns are kept and may have any name; those added here are
+arise.  Null or empty text: no words, so the base rule rejects it.  Words are
+compared in languages with a word list, characters in all.  An empty table gives
+no rows.  Extra columns are kept and may have any name; those added here are
 within one struct, ``QUALITY``.
 """
 
@@ -27,6 +29,7 @@ QUALITY = "__cm_quality"
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 MARKS = "[.,;:!?]"
+WIDE = r"[^\x00-\x7F]"
 #: Runs of characters that no class counts singly (spelled out: Java tests such a class by one table).
 COUNTED_GAPS = "[^#*$%&|<>.,;:!?0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ]+"
 #: Common words looked for, by language (a parameter; frequencies come from the corpus).
@@ -36,6 +39,8 @@ COMMON_WORDS = {
     "fr": "le la les de des et un en".split(),
     "es": "el la los de que y en un".split(),
 }
+#: A language with at least one in so many documents has a reference of its own.
+SHARE = 1000
 SLOTS = max(map(len, COMMON_WORDS.values()))
 CLASSES = ("space", "digit", "upper", "mark", "symbol", "wide", "other")
 #: Largest distances of accepted texts, and the lengths from which they count.
@@ -79,7 +84,7 @@ def with_features(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS,
     covered = F.array_distinct(F.flatten(F.transform(
         F.filter(s, same), lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
     lines, low = F.col(q + "lines"), F.col(q + "low")
-    n_chars, n_bytes = F.length(t).cast("long"), F.octet_length(t).cast("long")
+    n_chars = F.length(t).cast("long")
     count = lambda pattern: F.regexp_count(q + "rest", F.lit(pattern)).cast("long")
     slots = []
     listed = _common_array(F.col(lang), common)
@@ -87,13 +92,13 @@ def with_features(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS,
         word = F.concat(F.lit(" "), F.get(listed, F.lit(k)), F.lit(" "))
         removed = F.octet_length(low) - F.octet_length(F.replace(low, word, F.lit("")))
         slots.append(F.coalesce((removed / F.octet_length(word)).cast("long"), F.lit(0).cast("long")))
-    counts = {"n_symbols": count(SYMBOLS), "digit": count("[0-9]"), "upper": count("[A-Z]"), "mark": count(MARKS)}
+    counts = {"n_symbols": count(SYMBOLS), "digit": count("[0-9]"), "upper": count("[A-Z]"), "mark": count(MARKS),
+              "wide": F.when(F.octet_length(t) > F.length(t), F.regexp_count(t, F.lit(WIDE)).cast("long")).otherwise(F.lit(0).cast("long"))}
     df = df.withColumns({q + k: v for k, v in counts.items()})
     c = lambda name: F.col(q + name)
-    space, wide = n_chars - c("wc"), n_bytes - n_chars
-    classes = [space, c("digit"), c("upper"), c("mark"), c("n_symbols"), wide,
-               F.greatest(F.lit(0).cast("long"), n_chars - space - c("digit") - c("upper") - c("mark")
-                          - c("n_symbols") - wide)]
+    space = n_chars - c("wc")
+    classes = [space, c("digit"), c("upper"), c("mark"), c("n_symbols"), c("wide"),
+               n_chars - space - c("digit") - c("upper") - c("mark") - c("n_symbols") - c("wide")]
     df = df.withColumn(QUALITY, F.struct(
         F.col(lang).alias("lang"), n_chars.alias("n_chars"), c("n").alias("n_words"), c("wc").alias("word_chars"),
         c("n_symbols").alias("n_symbols"),
@@ -103,13 +108,21 @@ def with_features(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS,
     return df.select(*docs.columns, QUALITY)
 
 
-def references(features: DataFrame, languages=tuple(COMMON_WORDS)) -> DataFrame:
-    """One row per listed language (so at most ``len(languages)``): sums over all its documents."""
+def references(features: DataFrame, languages=tuple(COMMON_WORDS), share: int = SHARE) -> DataFrame:
+    """At most ``share + 1`` rows: sums over the documents of each language that has one in ``share`` of them, and over all.
+
+    ``r_whole`` marks the row of the whole table; ``r_common`` is null there and in languages without a word list.
+    """
     q = F.col(QUALITY)
     total = lambda name, n: F.array(*[F.sum(F.get(q[name], F.lit(k))) for k in range(n)])
-    return (features.where(q["lang"].isin(*languages)).groupBy(q["lang"].alias("r_lang"))
-            .agg(total("classes", len(CLASSES)).alias("r_classes"), total("common", SLOTS).alias("r_common"),
-                 F.sum(q["n_words"]).alias("r_words")))
+    least = features.count() / share
+    whole = F.grouping_id() == 1
+    sums = (features.withColumn("r_lang", q["lang"]).rollup("r_lang")
+            .agg(whole.alias("r_whole"), F.count(F.lit(1)).alias("r_docs"), total("classes", len(CLASSES)).alias("r_classes"),
+                 total("common", SLOTS).alias("r_common"), F.sum(q["n_words"]).alias("r_words")))
+    listed = ~F.col("r_whole") & F.col("r_lang").isin(*languages)
+    return (sums.where(F.col("r_whole") | (F.col("r_docs") >= F.lit(least)))
+            .select("r_whole", "r_lang", "r_classes", F.when(listed, F.col("r_common")).alias("r_common"), "r_words"))
 
 
 def js_distance(p: Column, r: Column) -> Column:
@@ -128,13 +141,16 @@ def with_verdict(features: DataFrame, refs: DataFrame, max_class: float = MAX_CL
                  min_words: int = MIN_WORDS) -> DataFrame:
     """``features`` with the struct of counts replaced by counts, distances, ``base_failed`` and ``kept``.
 
-    ``refs`` has one row per listed language, so it is broadcast.
+    ``refs`` has at most ``SHARE + 1`` rows, so its languages are broadcast; the row of the whole table is fetched.
     """
+    whole = refs.where("r_whole").first()
+    whole = F.array(*map(F.lit, whole["r_classes"])).cast("array<long>") if whole else F.lit(None).cast("array<long>")
+    refs = refs.where(~F.col("r_whole"))
     q = F.col(QUALITY)
     rest = lambda n, ks: F.array_append(ks, F.greatest(
         F.lit(0).cast("long"), n - F.aggregate(ks, F.lit(0).cast("long"), lambda x, y: x + y)))
-    df = features.join(F.broadcast(refs), q["lang"] == F.col("r_lang"), "left").withColumns({
-        "__cm_q_class": js_distance(q["classes"], F.col("r_classes")),
+    df = features.join(F.broadcast(refs), q["lang"].eqNullSafe(F.col("r_lang")), "left").withColumns({
+        "__cm_q_class": js_distance(q["classes"], F.coalesce(F.col("r_classes"), whole)),
         "__cm_q_word": js_distance(rest(q["n_words"], q["common"]), rest(F.col("r_words"), F.col("r_common")))})
     by_class, by_word = F.col("__cm_q_class"), F.col("__cm_q_word")
     base = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])

@@ -95,7 +95,8 @@ def quality_sql() -> str:
           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
           [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines,
           len(regexp_extract_all(t, '[0-9]')) AS digit, len(regexp_extract_all(t, '[A-Z]')) AS upper,
-          len(regexp_extract_all(t, '[.,;:!?]')) AS mark, length(t) AS n_chars, strlen(t) AS n_bytes,
+          len(regexp_extract_all(t, '[.,;:!?]')) AS mark, length(t) AS n_chars,
+          len(regexp_extract_all(t, '{quality.WIDE}')) AS wide,
           [lower(x) for x in w] AS low, CASE lang {common} END AS listed,
           [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] AS wins FROM d),
     p AS (SELECT doc_id, unnest(wins) AS win, generate_subscripts(wins, 1) AS i FROM c),
@@ -106,16 +107,18 @@ def quality_sql() -> str:
           coalesce(n_repeat_words, 0) AS n_repeat_words, n_chars,
           CASE WHEN listed IS NULL THEN [CAST(0 AS BIGINT) for i in range({quality.SLOTS})]
                ELSE [CAST(len([x for x in low if x = v]) AS BIGINT) for v in listed] END AS com,
-          [n_chars - word_chars, digit, upper, mark, n_symbols, n_bytes - n_chars,
-           greatest(0, word_chars - digit - upper - mark - n_symbols - (n_bytes - n_chars))] AS cls
+          [n_chars - word_chars, digit, upper, mark, n_symbols, wide,
+           word_chars - digit - upper - mark - n_symbols - wide] AS cls
           FROM c LEFT JOIN rep USING (doc_id)),
-    r AS (SELECT lang AS r_lang, [{', '.join(f'CAST(sum(cls[{k + 1}]) AS DOUBLE)' for k in range(n))}] AS r_cls,
-          [{', '.join(f'CAST(sum(com[{k + 1}]) AS DOUBLE)' for k in range(quality.SLOTS))},
-           CAST(sum(n_words) AS DOUBLE) - ({' + '.join(f'sum(com[{k + 1}])' for k in range(quality.SLOTS))})] AS r_com
-          FROM f WHERE lang IN ({', '.join(repr(x) for x in quality.COMMON_WORDS)}) GROUP BY lang),
-    j AS (SELECT *, CAST(cls AS DOUBLE[]) AS pc, CAST(list_append(com, greatest(0, n_words - list_sum(com))) AS DOUBLE[]) AS pw
-          FROM f LEFT JOIN r ON lang = r_lang),
-    v AS (SELECT *, {js('pc', 'r_cls')} AS class_distance, {js('pw', 'r_com')} AS word_distance,
+    r AS (SELECT lang AS r_lang, true AS own, [{', '.join(f'CAST(sum(cls[{k + 1}]) AS DOUBLE)' for k in range(n))}] AS r_cls,
+          CASE WHEN lang IN ({', '.join(repr(x) for x in quality.COMMON_WORDS)}) THEN [{', '.join(f'CAST(sum(com[{k + 1}]) AS DOUBLE)' for k in range(quality.SLOTS))},
+           CAST(sum(n_words) AS DOUBLE) - ({' + '.join(f'sum(com[{k + 1}])' for k in range(quality.SLOTS))})] END AS r_com
+          FROM f GROUP BY lang HAVING count(*) >= (SELECT count(*) FROM f) / {float(quality.SHARE)}),
+    a AS (SELECT [{', '.join(f'CAST(sum(cls[{k + 1}]) AS DOUBLE)' for k in range(n))}] AS a_cls FROM f),
+    j AS (SELECT *, CAST(cls AS DOUBLE[]) AS pc, CAST(list_append(com, greatest(0, n_words - list_sum(com))) AS DOUBLE[]) AS pw,
+          CASE WHEN own THEN r_cls ELSE (SELECT a_cls FROM a) END AS ref_cls
+          FROM f LEFT JOIN r ON lang IS NOT DISTINCT FROM r_lang),
+    v AS (SELECT *, {js('pc', 'ref_cls')} AS class_distance, {js('pw', 'r_com')} AS word_distance,
           (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM j)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            (NOT base_failed AND NOT coalesce((n_chars >= {quality.MIN_CHARS} AND class_distance > {quality.MAX_CLASS_DISTANCE})

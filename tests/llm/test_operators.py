@@ -106,11 +106,35 @@ def test_quality_counts_and_guards(make_docs, odd_rows, no_docs):
         assert (c["n_words"], c["word_chars"], c["n_symbols"], c["n_dup_lines"], c["n_repeat_words"]) == want
         assert q["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
         assert not (q["base_failed"] and q["kept"])
-        if r["lang"] is None:
-            assert q["kept"] == (not q["base_failed"])  # no reference, so only the base rules
+        assert sum(c["classes"]) == c["n_chars"]  # every code point in one class
+        assert (q["class_distance"] is None) == (c["n_chars"] == 0) and (r["lang"] in quality.COMMON_WORDS or q["word_distance"] is None)
     assert quality.judge_documents(no_docs).count() == 0
 
 
+def test_quality_judges_every_language(spark):
+    """Junk goes whatever its language is called, null and very rare ones included; clean text stays."""
+    clean = lambda i: " ".join(f"{chr(97 + (i * 7 + k) % 26)}{chr(97 + k % 24)}um." for k in range(90))
+    wide = lambda i: " ".join("\u6587\u5b57" + chr(0x4E00 + (i * 31 + k) % 900) for k in range(90))
+    junk = " ".join(f"#{k}$%&" + "9" * (k % 5 + 3) for k in range(90))
+    names = ["en", "ja", None]
+    rows = [(n * 1000 + i, clean(i), lang) for n, lang in enumerate(names) for i in range(400)]
+    rows += [(5000 + i, wide(i), "zh") for i in range(400)] + [(9000 + n, junk, lang) for n, lang in enumerate(names + ["zh", "rare"])]
+    rows += [(9900, clean(5), "few"), (9901, "\U0001F600\u00e9\u6587a", "zh")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r[quality.QUALITY] for r in quality.judge_documents(df).collect()}
+    assert len(got) == len(rows)
+    assert not any(got[9000 + n]["kept"] or got[9000 + n]["base_failed"] for n in range(5))
+    assert got[9901]["counts"]["classes"] == [0, 0, 0, 0, 0, 3, 1]
+    assert all(q["kept"] for k, q in got.items() if k < 9000 and q["word_distance"] is None) and got[9900]["kept"]
+    # A reference is the sum over the documents of the language; the rare ones take the whole table's.
+    sums = lambda ks: [sum(x) for x in zip(*(got[k]["counts"]["classes"] for k in ks))]
+    for k, lang in ((9001, "ja"), (9002, None), (9004, "rare")):
+        ref = sums(got if lang == "rare" else [i for i, _, x in rows if x == lang])
+        p, r = ([x / sum(v) for x in v] for v in (got[k]["counts"]["classes"], ref))
+        part = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x)
+        assert got[k]["class_distance"] == pytest.approx(math.sqrt((part(p, r) + part(r, p)) / 2), abs=1e-6)
+
+
 def test_quality_separates_labelled_documents(spark):
     sf = "/root/testdata/sf0.01"
     q = F.col(quality.QUALITY)
