@@ -14,7 +14,7 @@ import math
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -52,17 +52,19 @@ def heavy_values(df: DataFrame, column: str, share: float) -> DataFrame:
     slots = math.ceil(1 / share)
     values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value"))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, schema = {}, None
         for b in batches:
-            for v, n in b["value"].value_counts().items():
-                kept[v] = kept.get(v, 0) + n
+            schema = b.schema
+            for x in b.column(0).value_counts().to_pylist():
+                kept[x["values"]] = kept.get(x["values"], 0) + x["counts"]
             while len(kept) > slots:  # take the smallest count from all
                 least = min(kept.values())
                 kept = {v: n - least for v, n in kept.items() if n > least}
-        yield pd.DataFrame({"value": list(kept)}, columns=["value"])
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(list(kept), schema.field(0).type)], schema=schema)
 
-    found = values.mapInPandas(count, f"value {df.schema[column].dataType.simpleString()}").distinct()
+    found = values.mapInArrow(count, f"value {df.schema[column].dataType.simpleString()}").distinct()
     total = values.agg(F.count(F.lit(1)).alias("total"))
     counts = values.join(found, "value", "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     # The total is one row.

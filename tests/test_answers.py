@@ -156,6 +156,14 @@ def test_heavy_values_are_complete_and_exact(spark):
     assert P.heavy_values(df.limit(0), "m", 0.1).count() == 0
 
 
+def test_heavy_values_of_tasks_without_any(spark):
+    """Every value is as frequent as the others, so that the counters of a task end empty."""
+    df = spark.range(0, 2000, 1, 2).select((F.col("id") % 1000).cast("string").alias("m"))
+    assert P.heavy_values(df, "m", 0.01).count() == 0
+    one = df.unionByName(spark.range(100).select(F.lit("big").alias("m")))
+    assert [tuple(r) for r in P.heavy_values(one, "m", 0.01).collect()] == [("big", 100, 2100)]
+
+
 # ---------------------------------------------------------------- X02
 
 def test_parity_by_bucket_compares_only_what_differs(spark):
