@@ -107,3 +107,35 @@ def test_latest_event_survives_a_restart(spark, scratch):
     land([("a", "5", Decimal(5), day(4)), ("b", "6", Decimal(6), day(1)), ("c", "7", Decimal(7), None), ("d", "8", None, None)])
     land([("c", "9", Decimal(9), day(30)), ("b", "10", Decimal(6), day(1))])
     assert drain() == {"a": "1", "b": "6", "c": "7", "d": "8"}
+
+
+def test_a_merge_shuffles_each_side_once(spark, scratch):
+    table = BucketTable(spark, f"{scratch}/once", TABLES["int_fees"], buckets=4)
+    table.create_if_absent()
+    table.upsert(spark.createDataFrame([(str(i), Decimal(i), Decimal(1)) for i in range(50)], FEES), at("2024-01-01"))
+    delta = spark.createDataFrame([("3", Decimal(30), Decimal(1)), ("new", Decimal(5), Decimal(5))], FEES)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged = table._merged(table._stored(), delta.withColumn(BUCKET, table._bucket()), at("2024-01-02"), False)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_null_keys_and_repeated_keys_in_a_merge(spark, scratch):
+    table = BucketTable(spark, f"{scratch}/odd", TABLES["int_fees"], buckets=4)
+    table.create_if_absent()
+    one = lambda key, fee: (key, Decimal(fee), Decimal(1))
+    frame = lambda rows: spark.createDataFrame(rows, FEES)
+    with pytest.raises(DuplicateKeyError):
+        table.upsert(frame([one("a", 1), one("a", 2)]), at("2024-01-01"))
+    assert table.read().count() == 0
+    table.upsert(frame([one("a", 1), one(None, 1)]), at("2024-01-01"))
+    done = table.upsert(frame([one("a", 2), one(None, 2)]), at("2024-01-02"))  # a null key matches nothing
+    assert (done.inserted, done.updated) == (1, 1)
+    with pytest.raises(DuplicateKeyError):
+        table.upsert(frame([one(None, 3), one(None, 4)]), at("2024-01-03"))
+    got = sorted((r["transaction_id"] or "", int(r["interchange_fee"]), r["dw_updated_at"].day) for r in table.read().collect())
+    assert got == [("", 1, 1), ("", 2, 2), ("a", 2, 2)]
