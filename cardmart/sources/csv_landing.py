@@ -148,10 +148,12 @@ def list_files(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
-              compression: str | None = None) -> None:
-    """CSV with a header line and a fixed column order."""
+              compression: str | None = None, level: str | None = None) -> None:
+    """CSV with a header line and a fixed column order.  ``level`` of gzip: BEST_SPEED, TWO, ... BEST_COMPRESSION."""
     w = df.select(*(columns or df.columns)).write.mode("overwrite").option("header", True) \
         .option("quote", '"').option("escape", '"').option("nullValue", "")
     if compression:
         w = w.option("compression", compression)
+    if level:
+        w = w.option("zlib.compress.level", level)
     w.csv(path)

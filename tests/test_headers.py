@@ -2,8 +2,10 @@
 
 import gzip
 import os
+import tempfile
+from pathlib import Path
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from cardmart.sources.headers import BLOCK, first_lines, header_check, heads
 
@@ -38,3 +40,16 @@ def test_bytes_read_do_not_grow_with_the_file(spark, scratch):
             f.write("id,name,at\n" + "1,some name,2024-01-01\n" * n)
     assert all(r["bytes_read"] <= BLOCK for r in heads(spark, scratch).collect())
     assert first_lines(f"{scratch}/1.csv")[0] == ["id,name,at", "1,some name,2024-01-01"]
+
+
+def test_layouts_are_landed_packed(spark, monkeypatch):
+    from cardmart.plans import queries_landing as Q
+    from cardmart.schemas import RAW_GATEWAY_LOG
+    folder = f"{tempfile.mkdtemp()}/landing"
+    rows = spark.createDataFrame([tuple(None for _ in RAW_GATEWAY_LOG)], RAW_GATEWAY_LOG).withColumn("gateway_log_id", F.lit("g1"))
+    monkeypatch.setattr(Q, "_folder", lambda spark: folder)
+    monkeypatch.setattr(Q.DT, "raw_gateway_log", lambda spark, sf_dir: rows)
+    found = Q.s06(spark, "").collect()
+    assert {r["layout"] for r in found} == set(Q.LAYOUTS) and all(r["has_rows"] for r in found)
+    files = [p for p in Path(folder).rglob("part-*")]
+    assert len(files) >= len(Q.LAYOUTS) and all(p.name.endswith(".csv.gz") for p in files)
