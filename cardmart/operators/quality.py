@@ -166,8 +166,14 @@ def counts_match(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 def parity(a: DataFrame, b: DataFrame, drop: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Rows only in ``a`` and rows only in ``b`` (multiset difference both ways)."""
     cols = [c for c in a.columns if c not in drop]
-    a2, b2 = a.select(*cols), b.select(*cols)
-    return a2.exceptAll(b2), b2.exceptAll(a2)
+    # One table of counts for both sides: each input is read once, and the two results share its shuffle.
+    sides = a.select(*cols, F.lit(1).alias("__n")).unionAll(b.select(*cols, F.lit(-1).alias("__n")))
+    more = sides.groupBy(*cols).agg(F.sum("__n").alias("__n")).where(F.col("__n") != 0)
+
+    def rows(n: Column) -> DataFrame:
+        return more.where(n > 0).withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), n))).select(*cols)
+
+    return rows(F.col("__n")), rows(-F.col("__n"))
 
 
 def differing_buckets(a: DataFrame, b: DataFrame, key: Sequence[str], buckets: int = 256) -> list[int]:

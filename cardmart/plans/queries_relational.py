@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from cardmart.plans import models as M
 from cardmart.plans.catalog import query
 from cardmart.plans.oracle_views import with_views
 from cardmart.plans.queries_ledger import fact
+from cardmart.session import checkpoint_root
 from cardmart.sources import driver_tables as DT
 
 # A fixed high-water mark inside the test tables' load-time range.
@@ -536,7 +538,11 @@ SELECT s.side, f.transaction_id FROM fact_payment_ledger f, (VALUES ('rebuild'),
 WHERE f.net_amount <> CAST(f.net_amount AS DECIMAL(12,2))""", "fact_payment_ledger"))
 def x02_scale(spark, sf_dir):
     """The rebuilt fact against the same fact at scale 2: rows with fractions of a cent differ, on both sides."""
-    a = fact(spark, sf_dir)
+    # Built once and stored: checksums and comparison read it again.
+    path = f"{checkpoint_root(spark).rstrip('/')}/parity/{uuid.uuid4().hex}"
+    built = fact(spark, sf_dir)
+    built.write.option("compression", "zstd").parquet(path)
+    a = spark.read.schema(built.schema).parquet(path)
     rounded = F.col("net_amount").cast("decimal(12,2)").cast(a.schema["net_amount"].dataType)
     only_a, only_b = Q.parity_by_bucket(a, a.withColumn("net_amount", rounded), ["transaction_id"], drop=["dw_load_timestamp"])
     return (only_a.select(F.lit("rebuild").alias("side"), "transaction_id")

@@ -179,3 +179,18 @@ def test_parity_by_bucket_compares_only_what_differs(spark):
     assert 1 <= len(differing_buckets(a, c, ["id"])) <= 4
     for got, want in zip(parity_by_bucket(a, c, ["id"]), parity(a, c)):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_parity_counts_both_sides_in_one_shuffle(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "y"), (3, "y"), (3, "y")], "id int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (3, "y"), (4, "z")], "id int, v string")
+    only_a, only_b = parity(a, b)
+    assert sorted(map(tuple, only_a.collect())) == [(1, "x"), (3, "y"), (3, "y")]
+    assert sorted(map(tuple, only_b.collect()), key=str) == [(2, None), (4, "z")]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = only_a.unionByName(only_b)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning") == 2  # the second is the one reused
