@@ -139,3 +139,46 @@ def test_null_keys_and_repeated_keys_in_a_merge(spark, scratch):
         table.upsert(frame([one(None, 3), one(None, 4)]), at("2024-01-03"))
     got = sorted((r["transaction_id"] or "", int(r["interchange_fee"]), r["dw_updated_at"].day) for r in table.read().collect())
     assert got == [("", 1, 1), ("", 2, 2), ("a", 2, 2)]
+
+
+STG = "transaction_id string, amount decimal(12,2), source_loaded_at timestamp_ntz"
+
+
+def test_only_rows_loaded_on_days_of_a_repeated_key_are_shuffled_wide(spark, scratch, monkeypatch):
+    table = BucketTable(spark, f"{scratch}/days", TABLES["stg_transactions"], buckets=4)
+    table.create_if_absent()
+    day = lambda n: None if n is None else dt.datetime(2023, 1, 1, 2) + dt.timedelta(days=n)
+    frame = lambda rows: spark.createDataFrame([(k, Decimal(a), day(d)) for k, a, d in rows], STG)
+    met = []
+    merged = BucketTable._merged
+    monkeypatch.setattr(BucketTable, "_merged", lambda self, held, delta, now, unique: (
+        met.append((0 if held is None else held.count(), delta.count())), merged(self, held, delta, now, unique))[1])
+    done = table.upsert(frame([(str(i), i, i) for i in range(100)] + [("odd", 1, None), (None, 1, 3)]), at("2024-01-01"))
+    assert (done.inserted, done.updated) == (102, 0)
+    # "5" comes again, "new" and later days do not; rows without a day or a key may always meet.
+    done = table.upsert(frame([(str(i), i, i) for i in range(100, 200)] + [("5", 50, 150), ("odd", 2, 160), ("late", 3, None), (None, 2, 170)]), at("2024-01-02"))
+    assert (done.inserted, done.updated) == (102, 2)
+    assert met[0] == (0, 2) and met[1][0] <= 3 and 4 <= met[1][1] <= 16
+    rows = [tuple(r) for r in table.read().select("transaction_id", F.col("amount").cast("int"), F.dayofmonth("dw_inserted_at"), F.dayofmonth("dw_updated_at")).collect()]
+    assert sorted(rows, key=str) == sorted(
+        [(str(i), i, *((1, 1) if i < 100 else (2, 2))) for i in range(200) if i != 5]
+        + [("5", 50, 1, 2), ("odd", 2, 1, 2), ("late", 3, 2, 2), (None, 1, 1, 1), (None, 2, 2, 2)], key=str)
+    before = files(table)
+    for twice in ([("x", 1, 300), ("x", 2, 500)], [(None, 1, 300), (None, 2, 500)], [("x", 1, None), ("x", 2, 500)]):
+        with pytest.raises(DuplicateKeyError):
+            table.upsert(frame([*twice, ("y", 1, 400)]), at("2024-01-03"))
+    assert files(table) == before
+
+
+def test_changes_are_merged_without_a_window(spark, scratch, monkeypatch):
+    table = BucketTable(spark, f"{scratch}/changes", TABLES["int_fees"], buckets=4)
+    table.create_if_absent()
+    frame = lambda rows: spark.createDataFrame([(k, Decimal(f), Decimal(1)) for k, f in rows], FEES)
+    monkeypatch.setattr(BucketTable, "_merged", None)  # compared rows need no second merge
+    assert table.upsert_changes(frame([("a", 1), ("b", 1), (None, 1)]), at("2024-01-01")).inserted == 3
+    done = table.upsert_changes(frame([("a", 2), ("c", 1), (None, 2)]), at("2024-01-02"))  # b stays, a null key matches nothing
+    assert (done.inserted, done.updated) == (2, 1)
+    got = sorted((r[0] or "", int(r[1]), r[3].day) for r in table.read().collect())
+    assert got == [("", 1, 1), ("", 2, 2), ("a", 2, 2), ("b", 1, 1), ("c", 1, 2)]
+    before = files(table)
+    assert table.upsert_changes(frame([("a", 2), ("b", 1), ("c", 1)])).rows == 0 and files(table) == before
