@@ -9,6 +9,7 @@ transaction that was settled once stays, as in any merge without a delete clause
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,9 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cardmart import constants as K
 from cardmart.functions.keys import load_time
 from cardmart.operators.joins import existence_flag, seed_if_absent
+from cardmart.operators.latest import latest_gateway_event
 from cardmart.operators.upsert import delta
 from cardmart.plans import models as M
 from cardmart.schemas import TABLES
+from cardmart.session import checkpoint_root
 from cardmart.sources.bucketed import BucketTable, Merged
 
 SOURCES = ("raw_transactions", "raw_gateway_log")
@@ -78,7 +81,8 @@ class Ledger:
         self.control.advance(source, top, now)  # after the data: a crash in between merges the slice again
         return done
 
-    def load(self, name: str, raw: dict[str, DataFrame], now: Column | None = None) -> Merged:
+    def load(self, name: str, raw: dict[str, DataFrame], now: Column | None = None, final: DataFrame | None = None) -> Merged:
+        """One load; ``final`` has the final settled events of the stored staging rows, if they were ranked already."""
         t = {n: table.read for n, table in self.tables.items()}
         if name == "stg_transactions":
             return self._staging(raw["raw_transactions"], "raw_transactions", name, M.stg_transactions, now)
@@ -87,9 +91,11 @@ class Ledger:
         if name == "int_transactions_enriched":
             rows = M.int_transactions_enriched(t["stg_transactions"](), raw["raw_card_master"], raw["raw_merchant_master"])
         elif name == "int_settlements":
-            rows = M.int_settlements(t["stg_gateway_log"]())
+            rows = M.int_settlements(t["stg_gateway_log"]()) if final is None else final.select(
+                "transaction_id", "settlement_amount", F.col("gateway_timestamp").alias("settled_at"))
         elif name == "int_fees":
-            rows = M.int_fees(t["stg_gateway_log"](), settled_only=True)
+            rows = (M.int_fees(t["stg_gateway_log"](), settled_only=True) if final is None
+                    else final.select("transaction_id", "interchange_fee", "scheme_fee"))
         else:
             rows = fact_of_stored(t["int_transactions_enriched"](), t["int_settlements"](), t["int_fees"](), raw["dispute_memos"])
         return self.tables[name].upsert_changes(rows, now)
@@ -97,7 +103,24 @@ class Ledger:
     def run(self, raw: dict[str, DataFrame], now: Column | None = None, upto: str = LOADS[-1]) -> list[Merged]:
         """The loads in order, up to the tables that ``upto`` needs."""
         self.control.seed(now=now)
-        return [self.load(n, raw, now) for n in needed(upto)]
+        work = f"{checkpoint_root(self.spark).rstrip('/')}/final/{uuid.uuid4().hex}"
+        done, final = [], None
+        try:
+            for name in needed(upto):
+                if name == "int_settlements" and upto == "fact_payment_ledger":
+                    final = self._final_events(work)  # settlements and fees are of the same events
+                done.append(self.load(name, raw, now, final))
+        finally:
+            p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        return done
+
+    def _final_events(self, work: str) -> DataFrame:
+        """The final settled event of every transaction, ranked once and stored."""
+        final = latest_gateway_event(self.tables["stg_gateway_log"].read(), ["transaction_id", "settlement_amount", "gateway_timestamp",
+                                                                             "interchange_fee", "scheme_fee"], settled_only=True)
+        final.write.option("compression", "zstd").parquet(work)
+        return self.spark.read.schema(final.schema).parquet(work)
 
 
 def needed(name: str) -> list[str]:

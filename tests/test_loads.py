@@ -182,3 +182,18 @@ def test_changes_are_merged_without_a_window(spark, scratch, monkeypatch):
     assert got == [("", 1, 1), ("", 2, 2), ("a", 2, 2), ("b", 1, 1), ("c", 1, 2)]
     before = files(table)
     assert table.upsert_changes(frame([("a", 2), ("b", 1), ("c", 1)])).rows == 0 and files(table) == before
+
+
+def test_settlements_and_fees_of_the_fact_share_one_ranking(spark, scratch, monkeypatch):
+    from cardmart.plans import loads, models
+
+    n, ranked = [], models.latest_gateway_event
+    for module in (loads, models):
+        monkeypatch.setattr(module, "latest_gateway_event", lambda *a, **k: (n.append(1), ranked(*a, **k))[1], raising=False)
+    ledger = Ledger(spark, scratch, buckets=2)
+    raw = DT.raw_tables(spark, SF)
+    assert all(m.inserted for m in ledger.run(raw, at("2024-01-01"))) and len(n) == 1
+    for name, rows in (("int_settlements", models.int_settlements(DT.raw_gateway_log(spark, SF))),
+                       ("int_fees", models.int_fees(DT.raw_gateway_log(spark, SF), settled_only=True))):
+        stored = ledger.tables[name].read().drop("dw_updated_at")
+        assert stored.count() == rows.count() and not stored.exceptAll(rows).count()
