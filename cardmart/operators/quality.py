@@ -1,9 +1,8 @@
 """Declarative data tests, parity and profiling.
 
 A test is data -- ``Check(model, column, kind, to_model, to_column)`` -- and a
-suite run is the ``unionByName`` of one small aggregate per test, so the
-result is one DataFrame (one row per test with its failure count) that Spark
-computes in parallel.  Not-null tests on one model share one aggregate.
+suite run is one aggregate over the tested columns of all models, each model
+read once; the result is one row per test with its failure count.
 """
 
 from __future__ import annotations
@@ -84,58 +83,54 @@ def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str)
 def run_suite(models: Mapping[str, DataFrame], checks: Sequence[Check] = LEDGER_CHECKS) -> DataFrame:
     """Q04: one row per test -- name, model, column, kind, failures, status.
 
-    Shuffles do not grow with the number of tests:
+    Every model is read once, however many tests it has:
 
-    * not-null tests of one model are one aggregate row (a count_if per column)
-      whose counts are exploded to a row per test;
-    * all unique tests are ONE aggregate over the union of (test, value)
-      pairs -- partial aggregation map-side, one shuffle;
-    * all relationship tests are ONE anti join of the unioned (test, fk)
-      pairs against the unioned (test, pk) pairs.
+    * each tested column (also one that a relationship refers to) gives a number, the hash of its value
+      and, where a relationship compares it, the value; ONE aggregate counts them, map-side first;
+    * NULLs, repeated hashes and compared values, which is all that can make a test fail, go on to a
+      second aggregate by (test, compared value), which finds values without a parent;
+    * two values may share a hash, so a column with repeated hashes is counted again by its values.
 
-    Values are compared within a test only, as strings (keys are ids).
+    Values are compared as strings (keys are ids).  The failures, a number a test, are gathered.
     """
     spark = next(iter(models.values())).sparkSession
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        found = F.array(*[F.struct(
-            F.lit(c.name).alias("test_name"), F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
-            F.lit(c.kind).alias("test_kind"), F.count_if(F.col(c.column).isNull()).alias("failures")) for c in cs])
-        parts.append(models[model].agg(found.alias("found")).select(F.inline("found")))
-
-    def pairs(cs: list[Check], model_of, col_of) -> DataFrame:
-        return reduce(DataFrame.unionByName, [
-            models[model_of(c)].select(F.lit(c.name).alias("test"),
-                                       F.col(col_of(c)).cast("string").alias("value"))
-            .filter(F.col("value").isNotNull()) for c in cs])
-
-    uniq = [c for c in checks if c.kind == "unique"]
-    rel = [c for c in checks if c.kind == "relationships"]
-    counted = []
-    if uniq:
-        dup = (pairs(uniq, lambda c: c.model, lambda c: c.column)
-               .groupBy("test", "value").count().filter(F.col("count") > 1)
-               .groupBy("test").agg(F.count(F.lit(1)).alias("failures")))
-        counted.append((uniq, dup))
-    if rel:
-        child = pairs(rel, lambda c: c.model, lambda c: c.column)
-        parent = pairs(rel, lambda c: c.to_model, lambda c: c.to_column)
-        miss = (child.join(parent.distinct(), ["test", "value"], "left_anti")
-                .groupBy("test").agg(F.count(F.lit(1)).alias("failures")))
-        counted.append((rel, miss))
-    for cs, found in counted:
-        meta = spark.createDataFrame(
-            [(c.name, c.model, c.column, c.kind) for c in cs],
-            "test_name string, model string, column_name string, test_kind string")
-        # a fixed list of tests (metadata rows), left-joined to the failures found
-        parts.append(meta.join(found.withColumnRenamed("test", "test_name"), "test_name", "left")
-                     .select("test_name", "model", "column_name", "test_kind",
-                             F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures")))
-    out = reduce(DataFrame.unionByName, parts)
+    related = [c for c in checks if c.kind == "relationships"]
+    compared = {(c.model, c.column) for c in related} | {(c.to_model, c.to_column) for c in related}
+    columns = sorted({(c.model, c.column) for c in checks} | compared)
+    at = {pair: i for i, pair in enumerate(columns)}
+
+    def values(model: str) -> DataFrame:
+        mine = [c for m, c in columns if m == model]
+        tagged = [F.struct(F.lit(at[model, c]).alias("e"), F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c))).alias("h"),
+                           (F.col(c) if (model, c) in compared else F.lit(None).cast("string")).alias("v")) for c in mine]
+        return models[model].select(*[F.col(c).cast("string").alias(c) for c in mine]).select(F.inline(F.array(*tagged)))
+
+    counted = (reduce(DataFrame.unionByName, [values(m) for m in dict.fromkeys(m for m, _ in columns)])
+               .groupBy("e", "h", "v").agg(F.count(F.lit(1)).alias("n"))
+               .where((F.col("n") > 1) | F.col("h").isNull() | F.col("v").isNotNull()))
+    is_null, none = F.col("h").isNull(), F.lit(None).cast("string")
+    finds = []
+    for i, c in enumerate(checks):
+        def find(pair, when: Column, v: Column, n: Column, parent: bool = False) -> None:
+            finds.append(F.when((F.col("e") == at[pair]) & when, F.struct(
+                F.lit(i).alias("test"), v.alias("v"), n.cast("long").alias("n"), F.lit(parent).alias("parent"))))  # noqa: B023
+
+        if c.kind == "unique":
+            find((c.model, c.column), ~is_null & (F.col("n") > 1), none, F.lit(1))
+        elif c.kind == "not_null":
+            find((c.model, c.column), is_null, none, F.col("n"))
+        else:
+            find((c.model, c.column), ~is_null, F.col("v"), F.col("n"))
+            find((c.to_model, c.to_column), ~is_null, F.col("v"), F.lit(0), True)
+    found = counted.select(F.inline(F.filter(F.array(*finds), lambda x: x.isNotNull())))
+    met = found.groupBy("test", "v").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    failures = {r["test"]: r["n"] for r in met.where(~F.col("parent")).groupBy("test").agg(F.sum("n").alias("n")).collect()}
+    for i, c in enumerate(checks):
+        if c.kind == "unique" and failures.get(i) and (c.model, c.column) not in compared:
+            key = models[c.model].select(F.col(c.column).cast("string").alias(c.column))
+            failures[i] = unique_failures(key, c.column).count()
+    rows = [(c.name, c.model, c.column, c.kind, failures.get(i, 0)) for i, c in enumerate(checks)]
+    out = spark.createDataFrame(rows, "test_name string, model string, column_name string, test_kind string, failures long")
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
